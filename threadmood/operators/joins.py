@@ -29,34 +29,32 @@ def skew_safe_join(
     one: DataFrame,
     many_key: str,
     one_key: str,
-    keys: DataFrame | None = None,
+    keys: DataFrame,
+    deal_by: tuple[str, ...],
 ) -> DataFrame:
     """Inner join of ``many`` rows to ``one`` side by key.
 
     A ``one`` side under Spark's broadcast limit goes to a plain join, which moves no
     ``many`` row. Otherwise both sides are shuffled, and rows of a hot key are dealt
     over several partitions, with the matching ``one`` rows repeated in each of them.
-    The part is a hash of the row, so a retried task deals it the same way.
+    The part is a hash of the ``deal_by`` columns, so a retried task deals a row the same
+    way; rows equal in all of them stay together and are left to AQE's skew handling.
 
-    ``keys`` may give a cheaper source of the same key column to count in.
+    ``keys`` is a cheap source of the ``many`` keys, to count in.
     """
     on = many[many_key] == one[one_key]
     if fits_broadcast(one):
         return many.join(one, on)
-    hot = hot_keys((many if keys is None else keys).select(many_key), many_key)
-    whole = F.col("hot_key").isNull()
-    row_hash = F.xxhash64(*(many[c] for c in many.columns))
+    hot = hot_keys(keys.select(many_key), many_key)
+    parts = F.col("parts")
+    own_part = F.when(parts.isNotNull(), F.pmod(F.xxhash64(*deal_by), parts).cast("int"))
+    # never NULL, or the join would infer a filter that repeats the columns' work
     dealt = many.join(F.broadcast(hot), many[many_key] == hot["hot_key"], "left").select(
-        many["*"],
-        F.when(whole, 0).otherwise(F.pmod(row_hash, F.col("parts"))).alias("part"),
+        many["*"], F.coalesce(own_part, F.lit(0)).alias("part")
     )
+    all_parts = F.when(parts.isNotNull(), F.sequence(F.lit(0), parts - 1))
     repeated = one.join(F.broadcast(hot), one[one_key] == hot["hot_key"], "left").select(
-        one["*"],
-        F.explode(
-            F.when(whole, F.array(F.lit(0))).otherwise(
-                F.sequence(F.lit(0), F.col("parts") - 1)
-            )
-        ).alias("part"),
+        one["*"], F.explode(F.coalesce(all_parts, F.array(F.lit(0)))).alias("part")
     )
     joined = dealt.join(
         repeated,
@@ -69,21 +67,25 @@ def labeled_comments(comments: DataFrame, labels: DataFrame) -> DataFrame:
     """Comment columns of the labelled comments; n labels for an id give n rows.
 
     Labels are counted per id before the join, so an id with very many of them is one
-    row there, and its repeats are made only where its comment lies.
+    row there, and its repeats are made only where its comment lies. Hand-made labels
+    are small: Spark broadcasts them by their size, and then no comment moves.
     """
     counts = labels.groupBy("Input_id").agg(F.count("*").alias("labels_of_id"))
-    joined = skew_safe_join(comments, counts, "id", "Input_id")
+    joined = comments.join(counts, comments["id"] == counts["Input_id"])
     repeats = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("labels_of_id")))
     return joined.select(*comments.columns, repeats.alias("nth")).drop("nth")
 
 
 def comment_story(
-    comments: DataFrame, stories: DataFrame, carry: tuple[str, ...] = (), keys: DataFrame | None = None
+    comments: DataFrame,
+    stories: DataFrame,
+    carry: tuple[str, ...] = (),
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Comments with the title and score of their story.
 
-    ``carry`` names further comment columns to keep; ``keys`` is a cheaper frame with
-    the same ``link_id`` values, to look for hot stories in.
+    ``carry`` names further comment columns to keep. ``keys`` may give the unfiltered
+    comments, whose ``link_id`` is cheaper to read, to look for hot stories in.
     """
     keyed = comments.select(
         "id",
@@ -97,9 +99,10 @@ def comment_story(
     side = stories.select(
         F.col("id").alias("story_id"), "title", F.col("score").alias("story_score")
     )
-    if keys is not None:
-        keys = keys.select(story_key(F.col("link_id")).alias("story_key"))
-    return skew_safe_join(keyed, side, "story_key", "story_id", keys).select(
+    links = comments if keys is None else keys
+    keys = links.select(story_key(F.col("link_id")).alias("story_key"))
+    deal_by = ("id", "created_utc", "comment_score")
+    return skew_safe_join(keyed, side, "story_key", "story_id", keys, deal_by).select(
         "id",
         "body",
         "created_utc",

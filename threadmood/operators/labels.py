@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadmood.functions.scalar import indicator
-from threadmood.operators.joins import skew_safe_join
 
 _TWO_CLASSES = {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}
 
@@ -42,8 +41,8 @@ def with_repeats(labels: DataFrame) -> DataFrame:
 
 def training_rows(comments: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled comments with all their label columns and training weight."""
-    bodies = comments.select("id", "body")
-    return skew_safe_join(bodies, with_repeats(labels), "id", "Input_id").drop("Input_id")
+    bodies, weighted = comments.select("id", "body"), with_repeats(labels)
+    return bodies.join(weighted, bodies["id"] == weighted["Input_id"]).drop("Input_id")
 
 
 def training_pairs(frame: DataFrame, label: str, *carry: str) -> DataFrame:
