@@ -6,21 +6,20 @@ no Python workers, and several times faster.
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
-import zipfile
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-import threadmood
 from threadmood.functions import rules
 
+# fixed values: the text rules
 _SUFFIX = "(?:" + "|".join(re.escape(s) for s in rules.URL_SUFFIXES) + ")"
 _LINK = re.compile(rf"\[(.*)\]\((?>\S+?{_SUFFIX})\S*\)")
 _URL = re.compile(rf"(?<!\S)\S+{_SUFFIX}\S*")
-_ENDS = re.compile(r"^(\W)|(\W)$")
+_ENDS = ((re.compile(r"^(\W)"), r"\1 "), (re.compile(r"(\W)$"), r" \1"))
 _EDGES = ((re.compile(r"(\w)(\W) "), r"\1 \2 "), (re.compile(r" (\W)(\w)"), r" \1 \2"))
 _RUNS = ((re.compile(r" (\W)(\W)"), r" \1 \2 "), (re.compile(r"(\W)(\W) "), r"\1 \2 "))
 _KEPT = "a-zA-Z0-9" + "".join(rules.PUNCTUATION_TOKENS)
@@ -40,8 +39,7 @@ def sanitize_text(body: str | None) -> list[str]:
     text = re.sub("[\n\t]", " ", body)
     text = _URL.sub("", _LINK.sub(r"\1", text)).lower()
     text = re.sub(r"[^\x20-\x7E]+", "", text)
-    text = _SPACES.sub(" ", _ENDS.sub(lambda m: f" {m[0]} ", text))
-    text = _apply(_EDGES, text)
+    text = _apply(_EDGES, _apply(_ENDS, text))
     for _ in range(rules.PUNCTUATION_PASSES):
         before, text = text, _apply(_RUNS, text)
         if text == before:
@@ -52,20 +50,11 @@ def sanitize_text(body: str | None) -> list[str]:
     return ["_".join(gram) for sizes in windows for gram in sizes if None not in gram]
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, for clusters where it is not installed."""
-    root = os.path.dirname(threadmood.__file__)
-    archive = os.path.join(tempfile.mkdtemp(prefix="threadmood-"), "threadmood.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
-    spark.addArtifacts(archive, pyfile=True)
-
-
 def register_sql_functions(spark: SparkSession) -> None:
-    """Make ``sanitize(text)`` callable from SQL."""
-    ship_package(spark)
+    """Make ``sanitize(text)`` callable from SQL.
+
+    The two modules travel inside the function, so executors need no installed package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    cloudpickle.register_pickle_by_value(rules)
     spark.udf.register("sanitize", F.udf(sanitize_text, "array<string>", useArrow=True))
