@@ -48,8 +48,8 @@ def training_rows(comments: DataFrame, labels: DataFrame) -> DataFrame:
 def training_pairs(frame: DataFrame, label: str, *carry: str) -> DataFrame:
     """(label, features, weight) of one polarity, ``label`` being its flag column.
 
-    The label is declared to have two values, so that a half or fold in which only one
-    occurs still makes a two-class model.
+    The label is declared to have two values, so that a fold without a flagged row can
+    still be evaluated.
     """
     flag = F.col(label).alias("label", metadata=_TWO_CLASSES)
     return frame.select(flag, "features", "weight", *carry)
