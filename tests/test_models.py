@@ -1,3 +1,4 @@
+import dataclasses
 import os
 
 import pytest
@@ -33,7 +34,7 @@ def frame(inputs, vectorizer, out_dir):
 
 @pytest.fixture(scope="module")
 def pair(inputs, vectorizer, out_dir):
-    return run.trained_models(inputs, DJT, vectorizer, out_dir)
+    return run.trained_models(inputs, DJT, vectorizer, out_dir, out_dir + "/training.parquet")
 
 
 def test_vocabulary_is_the_terms_of_five_documents(inputs, vectorizer):
@@ -147,6 +148,15 @@ def test_scored_rows_are_eligible_and_sampled(spark, inputs, vectorizer, pair, o
     assert 0 < scored.count() < everyone.count()
 
 
+def test_bernoulli_target_repeats_with_its_seed(inputs, vectorizer, pair, tmp_path):
+    config = dataclasses.replace(DJT, bernoulli=True, sample_fraction=0.5)
+    tables_of = [
+        run.scored_table(inputs, config, vectorizer, pair, str(tmp_path / name)) for name in "ab"
+    ]
+    first, second = (sorted(r.id for r in t.collect()) for t in tables_of)
+    assert first == second and 40 < len(first) < 120
+
+
 def test_shuffled_join_scores_the_same(spark, conf, inputs, vectorizer, pair):
     plain = scoring.score(inputs.comments, inputs.stories, vectorizer, pair)
     expected = sorted(map(tuple, plain.collect()), key=repr)

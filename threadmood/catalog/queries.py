@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Callable
-from functools import cache, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -272,14 +272,11 @@ TEXT_QUERIES: dict[str, Query] = {
 # features and models
 
 
-@cache
-def _home(application: str, base: str, sf_dir: str) -> str:
-    return posixpath.join(base, "threadmood", application, sf_dir.strip("/").replace("/", "-"))
-
-
 def _output_folder(spark: SparkSession, sf_dir: str) -> str:
     """Where this application keeps the models of these tables, to train them once."""
-    return _home(spark.sparkContext.applicationId, paths.shared_folder(spark), sf_dir)
+    tables_name = sf_dir.strip("/").replace("/", "-")
+    application = spark.sparkContext.applicationId
+    return posixpath.join(paths.shared_folder(spark), "threadmood", application, tables_name)
 
 
 def _labeled_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,12 +304,15 @@ def vectorize_nnz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.with_nonzeros(features.vectorize(tokens, model)).select("id", "nonzeros")
 
 
+def _frame_path(spark: SparkSession, sf_dir: str) -> str:
+    return posixpath.join(_output_folder(spark, sf_dir), "training.parquet")
+
+
 def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training table of the djt target, made once per application."""
     inputs = tables.inputs(spark, sf_dir, spread=True)
-    home = _output_folder(spark, sf_dir)
-    path = posixpath.join(home, "training.parquet")
-    frame = run.training_frame(inputs, run.vectorizer(inputs, home), path)
+    model = run.vectorizer(inputs, _output_folder(spark, sf_dir))
+    frame = run.training_frame(inputs, model, _frame_path(spark, sf_dir))
     return labels.binarize(frame, DJT.label_col)
 
 
@@ -333,11 +333,12 @@ def _fitted(polarity: models.Polarity) -> Query:
     return query
 
 
-def _trained(spark: SparkSession, sf_dir: str, config: TargetConfig = DJT):
+def _trained(spark: SparkSession, sf_dir: str):
     inputs = tables.inputs(spark, sf_dir, spread=True)
     home = _output_folder(spark, sf_dir)
     model = run.vectorizer(inputs, home)
-    return inputs, model, run.trained_models(inputs, config, model, home)
+    pair = run.trained_models(inputs, DJT, model, home, _frame_path(spark, sf_dir))
+    return inputs, model, pair
 
 
 def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:

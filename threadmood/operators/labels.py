@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadmood.functions.scalar import indicator
+from threadmood.sources.sizes import broadcast_if_small
 
 _TWO_CLASSES = {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}
 
@@ -18,9 +19,8 @@ def binarize(df: DataFrame, label_col: str) -> DataFrame:
 def rejoin_labels(labeled: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
     """Label flags by a second join: rows that met n labels come out n * n times."""
     side = labels.select("Input_id", label_col)
-    return binarize(labeled.join(side, labeled["id"] == side["Input_id"]), label_col).drop(
-        "Input_id", label_col
-    )
+    joined = labeled.join(broadcast_if_small(side), labeled["id"] == side["Input_id"])
+    return binarize(joined, label_col).drop("Input_id", label_col)
 
 
 def with_repeats(labels: DataFrame) -> DataFrame:
@@ -42,7 +42,8 @@ def with_repeats(labels: DataFrame) -> DataFrame:
 def training_rows(comments: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled comments with all their label columns and training weight."""
     bodies, weighted = comments.select("id", "body"), with_repeats(labels)
-    return bodies.join(weighted, bodies["id"] == weighted["Input_id"]).drop("Input_id")
+    on = bodies["id"] == weighted["Input_id"]
+    return bodies.join(broadcast_if_small(weighted), on).drop("Input_id")
 
 
 def training_pairs(frame: DataFrame, label: str, *carry: str) -> DataFrame:

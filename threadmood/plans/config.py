@@ -17,6 +17,8 @@ class TargetConfig:
     scored_path: str
     reports: dict[str, str] = field(default_factory=dict)
     seed: int = 42
+    # sample rows independently instead of by comment id
+    bernoulli: bool = False
 
 
 # fixed values: label columns, folds, fractions and paths of the three targets

@@ -15,6 +15,7 @@ from threadmood import schemas
 from threadmood.functions import text
 from threadmood.operators import features, joins, labels, models, reports, sampling, scoring
 from threadmood.plans.config import TARGETS, VECTORIZER_PATH, TargetConfig
+from threadmood.session import pin
 from threadmood.sources import paths, readers, writers
 
 
@@ -30,6 +31,7 @@ class Inputs:
 
 
 def load_inputs(spark: SparkSession, comments: str, stories: str, label_csv: str) -> Inputs:
+    pin(spark)
     return Inputs(
         readers.read_parquet(spark, comments),
         readers.read_parquet(spark, stories),
@@ -50,25 +52,34 @@ def vectorizer(inputs: Inputs, out_dir: str) -> CountVectorizerModel:
 
 
 def training_frame(inputs: Inputs, model: CountVectorizerModel, path: str) -> DataFrame:
-    """Vectors and label columns of the labelled comments, stored for the many fits."""
+    """Vectors and label columns of the labelled comments, stored for the many fits.
+
+    Every iteration of every fit is a job over these files, so they are made even and
+    no smaller than a task is worth.
+    """
     rows = features.with_tokens(labels.training_rows(inputs.comments, inputs.labels))
     frame = features.vectorize(rows, model).drop("body", "tokens")
-    return writers.materialize(frame, path)
+    return writers.materialize(frame.hint("rebalance"), path)
 
 
 def trained_models(
-    inputs: Inputs, config: TargetConfig, model: CountVectorizerModel, out_dir: str
+    inputs: Inputs,
+    config: TargetConfig,
+    model: CountVectorizerModel,
+    out_dir: str,
+    frame_path: str,
 ) -> dict[str, CrossValidatorModel]:
-    """Both models of a target; if either is missing both are trained."""
+    """Both models of a target; if either is missing both are trained.
+
+    The training table goes to ``frame_path`` unless another target has put it there.
+    """
     path_of = {
         p.name: posixpath.join(out_dir, config.model_dir, f"{p.name}.model")
         for p in models.POLARITIES
     }
 
     def fit() -> dict:
-        frame = training_frame(
-            inputs, model, paths.working_path(inputs.spark, "training.parquet")
-        )
+        frame = training_frame(inputs, model, frame_path)
         pair = models.train_pair(
             labels.binarize(frame, config.label_col), config.folds, config.seed
         )
@@ -89,32 +100,41 @@ def scored_table(
 ) -> DataFrame:
     """The frozen rows every report of the target reads.
 
-    The sample goes by comment id, so it may be taken ahead of the join to the stories
-    and the rows left out are neither tokenised nor shuffled.
+    The sample is taken from the comments, ahead of the join to the stories: the rows
+    left out are neither tokenised nor shuffled.
     """
-    sampled = sampling.stable_sample(inputs.comments, config.sample_fraction)
+    if config.bernoulli:
+        sampled = sampling.bernoulli_sample(
+            inputs.comments, config.sample_fraction, config.seed
+        )
+    else:
+        sampled = sampling.stable_sample(inputs.comments, config.sample_fraction)
     scored = scoring.score(sampled, inputs.stories, model, pair, keys=inputs.comments)
     return writers.materialize(
         scored.select(*schemas.SCORED.names), posixpath.join(out_dir, config.scored_path)
     )
 
 
-def run_target(inputs: Inputs, config: TargetConfig, out_dir: str) -> dict[str, str]:
-    """All stages of one target; returns report name to path."""
+def run_targets(
+    inputs: Inputs, out_dir: str, configs: Iterable[TargetConfig] = tuple(TARGETS.values())
+) -> dict[str, dict[str, str]]:
+    """All stages of all targets; returns target to report name to path."""
     model = vectorizer(inputs, out_dir)
-    pair = trained_models(inputs, config, model, out_dir)
-    scored = scored_table(inputs, config, model, pair, out_dir)
+    frame_path = paths.working_path(inputs.spark, "training.parquet")
     written = {}
-    for name, path in config.reports.items():
-        written[name] = posixpath.join(out_dir, path)
-        writers.write_report(reports.report(scored, name, ordered=False), written[name])
+    for config in configs:
+        pair = trained_models(inputs, config, model, out_dir, frame_path)
+        scored = scored_table(inputs, config, model, pair, out_dir)
+        written[config.name] = {
+            name: posixpath.join(out_dir, path) for name, path in config.reports.items()
+        }
+        for name, path in written[config.name].items():
+            writers.write_report(reports.report(scored, name, ordered=False), path)
     return written
 
 
-def run_targets(
-    inputs: Inputs, out_dir: str, configs: Iterable[TargetConfig] = tuple(TARGETS.values())
-) -> dict[str, dict[str, str]]:
-    return {c.name: run_target(inputs, c, out_dir) for c in configs}
+def run_target(inputs: Inputs, config: TargetConfig, out_dir: str) -> dict[str, str]:
+    return run_targets(inputs, out_dir, (config,))[config.name]
 
 
 def tokenize_json(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
