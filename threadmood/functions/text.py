@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,17 +52,22 @@ def _single_spaces(text: Column) -> Column:
 
 def spaces_for_breaks(text: Column) -> Column:
     """Newlines and tabs become spaces; a carriage return does not."""
-    return _replace(text, r"[\n\t]", " ")
+    space = F.lit(" ")
+    return F.replace(F.replace(text, F.lit("\n"), space), F.lit("\t"), space)
 
 
 def remove_urls(text: Column) -> Column:
-    """Reduce a markdown link to its text, then delete every run that holds a URL suffix."""
-    return _let(
-        text,
-        lambda t: F.when(
-            t.rlike(_SUFFIX), _replace(_replace(t, _LINK, "$1$2"), _URL_RUN, "")
-        ).otherwise(t),
-    )
+    """Reduce a markdown link to its text, then delete every run that holds a URL suffix.
+
+    Both need a suffix somewhere; texts without one are only looked through.
+    """
+
+    def removed(t: Column) -> Column:
+        found = reduce(or_, (t.contains(suffix) for suffix in rules.URL_SUFFIXES))
+        gone = _replace(_replace(t, _LINK, "$1$2"), _URL_RUN, "")
+        return F.when(found, gone).otherwise(t)
+
+    return _let(text, removed)
 
 
 def lowercase(text: Column) -> Column:
