@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadmood import schemas
+from threadmood.catalog import queries
 from threadmood.operators import features, joins, labels, models, scoring
 from threadmood.plans import run, tables
 from threadmood.plans.config import DEM, DJT, GOP, TARGETS
-from threadmood.sources import readers
+from threadmood.sources import readers, writers
 
 
 @pytest.fixture(scope="module")
@@ -17,8 +18,9 @@ def inputs(spark, sf_dir):
 
 
 @pytest.fixture(scope="module")
-def out_dir(tmp_path_factory):
-    return str(tmp_path_factory.mktemp("run"))
+def out_dir(spark, sf_dir):
+    """The folder the queries use too, so models are trained once for all tests."""
+    return queries._output_folder(spark, sf_dir)
 
 
 @pytest.fixture(scope="module")
@@ -181,6 +183,39 @@ def test_run_writes_everything_once(spark, inputs, out_dir):
         assert report.count() > 0 and outside.count() == 0
 
 
+def test_run_from_files(spark, inputs, vectorizer, pair, out_dir, tmp_path):
+    """JSON in, Parquet and CSV as inputs, reports as from the tables."""
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    for name, table, schema in (
+        ("comments", inputs.comments, schemas.COMMENTS),
+        ("submissions", inputs.stories, schemas.STORIES),
+    ):
+        path = str(source / name)
+        table.write.option("compression", "bzip2").json(path + ".json")
+        writers.ingest(readers.read_json(spark, path + ".json", schema), path + ".parquet")
+    inputs.labels.write.option("header", True).csv(str(source / "labeled_data.csv"))
+    loaded = run.load_inputs(
+        spark,
+        str(source / "comments.parquet"),
+        str(source / "submissions.parquet"),
+        str(source / "labeled_data.csv"),
+    )
+    assert sorted(map(tuple, loaded.labels.collect()), key=repr) == sorted(
+        map(tuple, inputs.labels.collect()), key=repr
+    )
+    writers.save_model(vectorizer, target + "/cvModel")
+    for name, model in pair.items():
+        writers.save_model(model, f"{target}/{DJT.model_dir}/{name}.model")
+    from_files = run.run_target(loaded, DJT, target)
+    from_tables = run.run_target(inputs, DJT, out_dir)
+    for name in DJT.reports:
+        first, second = (
+            sorted(map(tuple, readers.read_report(spark, w[name], name).collect()), key=repr)
+            for w in (from_files, from_tables)
+        )
+        assert first == second
+
+
 def test_other_target_shares_the_vectorizer(spark, inputs, out_dir):
     before = os.stat(out_dir + "/cvModel/data").st_mtime_ns
     written = run.run_target(inputs, DEM, out_dir)

@@ -38,8 +38,12 @@ _SPECIAL = f"[^{string.ascii_letters}{string.digits}{''.join(rules.PUNCTUATION_T
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` to a name, so ``body`` may use it often and it is computed once."""
-    return F.transform(F.array(value), body)[0]
+    """Bind ``value`` to a name, so ``body`` may use it often and it is computed once.
+
+    Folding no elements hands the start value to the finish function as it is.
+    """
+    nothing = F.array().cast("array<int>")
+    return F.aggregate(nothing, value, lambda bound, _: bound, body)
 
 
 def _replace(text: Column, pattern: str, replacement: str) -> Column:
