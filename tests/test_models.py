@@ -159,6 +159,22 @@ def test_bernoulli_target_repeats_with_its_seed(inputs, vectorizer, pair, tmp_pa
     assert first == second and 40 < len(first) < 120
 
 
+def test_targets_sharing_a_scan_score_the_same(spark, inputs, vectorizer, pair, tmp_path):
+    together, alone = str(tmp_path / "together"), str(tmp_path / "alone")
+    writers.save_model(vectorizer, together + "/cvModel")
+    for config in (DEM, DJT):
+        for name, model in pair.items():
+            writers.save_model(model, f"{together}/{config.model_dir}/{name}.model")
+    run.run_targets(inputs, together, (DEM, DJT))
+    for config in (DEM, DJT):
+        shared = readers.read_parquet(spark, f"{together}/{config.scored_path}")
+        single = run.scored_table(inputs, config, vectorizer, pair, alone)
+        assert shared.schema == single.schema
+        assert sorted(map(tuple, shared.collect()), key=repr) == sorted(
+            map(tuple, single.collect()), key=repr
+        )
+
+
 def test_shuffled_join_scores_the_same(spark, conf, inputs, vectorizer, pair):
     plain = scoring.score(inputs.comments, inputs.stories, vectorizer, pair)
     expected = sorted(map(tuple, plain.collect()), key=repr)

@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 
 from threadmood import schemas
 from threadmood.functions import text
-from threadmood.operators import features, joins, labels, models, reports, sampling, scoring
+from threadmood.operators import (
+    features,
+    filters,
+    joins,
+    labels,
+    models,
+    reports,
+    sampling,
+    scoring,
+)
 from threadmood.plans.config import TARGETS, VECTORIZER_PATH, TargetConfig
 from threadmood.session import pin
 from threadmood.sources import paths, readers, writers
@@ -91,25 +100,42 @@ def trained_models(
     return {name: models.load_model(path) for name, path in path_of.items()}
 
 
+def _sampled(inputs: Inputs, config: TargetConfig) -> DataFrame:
+    if config.bernoulli:
+        return sampling.bernoulli_sample(inputs.comments, config.sample_fraction, config.seed)
+    return sampling.stable_sample(inputs.comments, config.sample_fraction)
+
+
+def sampled_rows(inputs: Inputs, fraction: float, path: str) -> DataFrame:
+    """Eligible comments of a stable sample with their stories, stored.
+
+    Smaller stable samples are part of it, so several targets need one scan and one join.
+    """
+    sampled = filters.eligible(sampling.stable_sample(inputs.comments, fraction))
+    rows = joins.comment_story(sampled, inputs.stories, keys=inputs.comments)
+    return writers.materialize(rows, path)
+
+
 def scored_table(
     inputs: Inputs,
     config: TargetConfig,
     model: CountVectorizerModel,
     pair: dict[str, CrossValidatorModel],
     out_dir: str,
+    shared: DataFrame | None = None,
 ) -> DataFrame:
     """The frozen rows every report of the target reads.
 
     The sample is taken from the comments, ahead of the join to the stories: the rows
-    left out are neither tokenised nor shuffled.
+    left out are neither tokenised nor shuffled. ``shared`` may hold the sampled rows of
+    this and other targets.
     """
-    if config.bernoulli:
-        sampled = sampling.bernoulli_sample(
-            inputs.comments, config.sample_fraction, config.seed
-        )
+    if shared is not None:
+        rows = sampling.stable_sample(shared, config.sample_fraction)
+        scored = scoring.score_comments(rows, model, pair)
     else:
-        sampled = sampling.stable_sample(inputs.comments, config.sample_fraction)
-    scored = scoring.score(sampled, inputs.stories, model, pair, keys=inputs.comments)
+        rows = _sampled(inputs, config)
+        scored = scoring.score(rows, inputs.stories, model, pair, keys=inputs.comments)
     return writers.materialize(
         scored.select(*schemas.SCORED.names), posixpath.join(out_dir, config.scored_path)
     )
@@ -119,12 +145,27 @@ def run_targets(
     inputs: Inputs, out_dir: str, configs: Iterable[TargetConfig] = tuple(TARGETS.values())
 ) -> dict[str, dict[str, str]]:
     """All stages of all targets; returns target to report name to path."""
+    configs = tuple(configs)
     model = vectorizer(inputs, out_dir)
     frame_path = paths.working_path(inputs.spark, "training.parquet")
+    pairs = {c.name: trained_models(inputs, c, model, out_dir, frame_path) for c in configs}
+    sharing = [
+        c
+        for c in configs
+        if not c.bernoulli
+        and not paths.is_finished(inputs.spark, posixpath.join(out_dir, c.scored_path))
+    ]
+    shared = None
+    if len(sharing) > 1:
+        largest = max(c.sample_fraction for c in sharing)
+        path = paths.working_path(inputs.spark, "sampled.parquet")
+        shared = sampled_rows(inputs, largest, path)
     written = {}
     for config in configs:
-        pair = trained_models(inputs, config, model, out_dir, frame_path)
-        scored = scored_table(inputs, config, model, pair, out_dir)
+        scored = scored_table(
+            inputs, config, model, pairs[config.name], out_dir,
+            shared if config in sharing else None,
+        )
         written[config.name] = {
             name: posixpath.join(out_dir, path) for name, path in config.reports.items()
         }
