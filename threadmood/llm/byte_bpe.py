@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Documents encoded at a time by one task.
-BLOCK_ROWS = 4000
+BLOCK_ROWS = 1500
 #: Units remembered by one task; when it is full the memory starts anew, results are the same.
-MEMORY_UNITS = 400_000
+MEMORY_UNITS = 200_000
 
 Ranks = dict[bytes, int]
 
@@ -129,6 +129,11 @@ def units(text: str, spaced=regex.compile(r"\s ")) -> list[str]:
     return ([first] if first else []) + [" " + x for x in rest]
 
 
+def joinable(unit: str) -> bool:
+    """Whether the unit may stand in a long text of such units and still be matched as if alone."""
+    return unit[0] == " " and not unit[-1].isspace()
+
+
 class Encoder:
     """Ids of texts; equal units of a block are encoded once."""
 
@@ -136,23 +141,61 @@ class Encoder:
         self.merges, self.matches = merges, regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
 
+    def _learn(self, fresh: list[str]) -> None:
+        joined = [unit for unit in fresh if joinable(unit)]
+        alone = [unit for unit in fresh if not joinable(unit)]
+        words = self.matches("".join(joined))
+        ends = np.cumsum(np.fromiter(map(len, words), "int64", len(words)))
+        counts = [np.searchsorted(ends, np.cumsum(np.fromiter(map(len, joined), "int64", len(joined))), "right")]
+        for unit in alone:
+            words += self.matches(unit)
+            counts.append([len(words)])
+        index: dict[str, int] = {}
+        which = np.array([index.setdefault(word, len(index)) for word in words], "int64")
+        ids, starts = replay_merges([word.encode() for word in index], self.merges)
+        sizes = np.diff(starts)[which]
+        before = np.append(0, np.cumsum(sizes))
+        places = np.repeat(starts[which] - before[:-1], sizes) + np.arange(before[-1])
+        blob = ids[places].astype("<i4").tobytes()
+        start = 0
+        for unit, end in zip(joined + alone, (4 * before[np.concatenate(counts).astype("int64")]).tolist(), strict=True):
+            self.known[unit] = blob[start:end]
+            start = end
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as 32-bit little-endian numbers."""
-        cut = [units(text) for text in texts]
         if len(self.known) > MEMORY_UNITS:
             self.known = {}
+        cut = [units(text) for text in texts]
         known = self.known
-        fresh = list({unit for own in cut for unit in own if unit not in known})
-        matches = [self.matches(unit) for unit in fresh]
-        words = list({word for own in matches for word in own})
-        ids, starts = replay_merges([word.encode() for word in words], self.merges)
-        blob, bounds = ids.astype("<i4").tobytes(), (4 * starts).tolist()
-        of = {word: blob[bounds[i] : bounds[i + 1]] for i, word in enumerate(words)}
-        for unit, own in zip(fresh, matches, strict=True):
-            known[unit] = of[own[0]] if len(own) == 1 else b"".join([of[word] for word in own])
+        fresh = {unit for own in cut for unit in own}.difference(known)
+        fresh.discard("")
+        self._learn(list(fresh))
+        known[""] = b""
         return [b"".join([known[unit] for unit in own]) for own in cut]
 
 
+class Decoder:
+    """Bytes of id lists, gathered from the tokens laid end to end."""
+
+    def __init__(self, ranks: Ranks):
+        token = [b""] * (max(ranks.values()) + 1)
+        for word, rank in ranks.items():
+            token[rank] = word
+        self.sizes = np.array([len(word) for word in token], "int64")
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(token), "uint8")
+
+    def __call__(self, lists: pa.ListArray) -> pa.Array:
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        sizes = self.sizes[ids]
+        ends = np.append(0, np.cumsum(sizes))
+        out = self.bytes[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
+        counts = np.append(0, np.cumsum([0 if n is None else n for n in lists.value_lengths().to_pylist()])).astype("int64")
+        bounds = pa.py_buffer(ends[counts].astype("int64").tobytes())
+        return pa.Array.from_buffers(pa.large_binary(), len(lists), [None, bounds, pa.py_buffer(out.tobytes())]).cast(pa.binary())
+
+
 def _id_lists(blobs: list[bytes]) -> pa.Array:
     offsets = np.array([0, *accumulate(len(blob) // 4 for blob in blobs)], "int32")
     return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(blobs), "<i4")))
@@ -186,15 +229,13 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     """(id, ids, bytes binary) per row: the bytes that the ids stand for; a NULL list gives no bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(path)
-        token = [b""] * (max(ranks.values()) + 1)
-        for word, rank in ranks.items():
-            token[rank] = word
+        decoder = Decoder(read_ranks(path))
         for batch in batches:
-            texts = [b"".join([token[i] for i in ids or ()]) for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=[id_col, ids_col, "bytes"]
-            )
+            for start in range(0, batch.num_rows, BLOCK_ROWS):
+                own = batch.slice(start, BLOCK_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [own.column(0), own.column(1), decoder(own.column(1))], names=[id_col, ids_col, "bytes"]
+                )
 
     schema = T.StructType([df.schema[id_col], df.schema[ids_col], T.StructField("bytes", T.BinaryType())])
     return df.select(id_col, ids_col).mapInArrow(run, schema)

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from threadmood.llm.byte_bpe import MEMORY_UNITS, units
+from threadmood.llm.byte_bpe import MEMORY_UNITS, joinable, units
 
 CAPACITY = 1024
 #: The id that ends every document.
@@ -49,8 +49,8 @@ class TokenizerIds:
         self.known: dict[str, bytes] = {}
 
     def _learn(self, fresh: list[str]) -> None:
-        joined = [x for x in fresh if x[0] == " " and len(x) > 1 and not x[-1].isspace()]
-        alone = [x for x in fresh if not (x[0] == " " and len(x) > 1 and not x[-1].isspace())]
+        joined = [unit for unit in fresh if joinable(unit)]
+        alone = [unit for unit in fresh if not joinable(unit)]
         for unit, own in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.known[unit] = np.array(own.ids, "<u4").tobytes()
         if joined:

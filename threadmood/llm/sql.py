@@ -1,3 +1,83 @@
 """The same rows as the queries of this package, as DuckDB SQL."""
 
-ORACLE_SQL: dict[str, str] = {}
+_QUALITY_ROUNDS = 20
+
+OP1 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), m AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), x AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM m
+), near AS (
+  SELECT r, i, word, lag(word) OVER q AS previous,
+         [word, lead(word, 1) OVER q, lead(word, 2) OVER q, lead(word, 3) OVER q, lead(word, 4) OVER q] AS g,
+         lead(word, 4) OVER q IS NOT NULL AS whole
+  FROM x WINDOW q AS (PARTITION BY r ORDER BY i)
+), echoes AS (
+  SELECT r, count(*) AS n FROM near WHERE word = previous GROUP BY r
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM near WHERE whole) WHERE c > 1
+), repeated AS (
+  SELECT r, sum(least(5, coalesce(following - i, 5))) AS n
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM twice) GROUP BY r
+), f AS (
+  SELECT m.r, doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda y: length(y))), 0)::BIGINT AS word_chars,
+         length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(repeated.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+         len(list_distinct(w)) AS n_distinct, coalesce(echoes.n, 0) AS n_echoes,
+         length(t) - length(regexp_replace(t, '\p{{Lu}}+', '', 'g')) AS n_upper
+  FROM m LEFT JOIN echoes USING (r) LEFT JOIN repeated USING (r)
+), v AS (
+  SELECT *, [
+    CASE WHEN n_words = 0 THEN 0 WHEN 100 * n_symbols > 10 * n_words THEN -1 WHEN 100 * n_symbols <= 2 * n_words THEN 1 ELSE 0 END,
+    CASE WHEN n_words = 0 THEN 0 WHEN 100 * n_repeat_words > 20 * n_words THEN -1 WHEN 100 * n_repeat_words <= 5 * n_words THEN 1 ELSE 0 END,
+    CASE WHEN n_lines = 0 THEN 0 WHEN 100 * n_dup_lines > 40 * n_lines THEN -1 WHEN 100 * n_dup_lines <= 10 * n_lines THEN 1 ELSE 0 END,
+    CASE WHEN n_words = 0 THEN 0 WHEN 100 * n_echoes > 20 * n_words THEN -1 WHEN 100 * n_echoes <= 5 * n_words THEN 1 ELSE 0 END,
+    CASE WHEN word_chars = 0 THEN 0 WHEN 100 * n_upper > 30 * word_chars THEN -1 WHEN 100 * n_upper <= 15 * word_chars THEN 1 ELSE 0 END,
+    CASE WHEN n_words = 0 THEN 0 WHEN word_chars > 12 * n_words OR word_chars < 2 * n_words THEN -1
+         WHEN word_chars <= 8 * n_words AND word_chars >= 3 * n_words THEN 1 ELSE 0 END,
+    CASE WHEN n_words = 0 THEN 0 WHEN 100 * n_distinct <= 20 * n_words THEN -1 WHEN 100 * n_distinct >= 50 * n_words THEN 1 ELSE 0 END,
+    CASE WHEN n_words < 10 THEN -1 WHEN n_words >= 20 THEN 1 ELSE 0 END
+  ] AS votes FROM f
+), ways AS (
+  SELECT votes, count(*)::DOUBLE AS n FROM v GROUP BY votes
+), cells AS (
+  SELECT way.votes, rule, way.votes[rule] AS vote FROM ways AS way, range(1, 9) AS rules(rule)
+), slots AS (
+  SELECT rule, vote FROM range(1, 9) AS a(rule), (VALUES (-1), (1)) AS b(vote)
+), em AS (
+  SELECT 0 AS round, votes, n, CASE WHEN list_contains(votes, -1) THEN 0.1::DOUBLE ELSE 0.95::DOUBLE END AS q FROM ways
+  UNION ALL
+  SELECT * FROM (
+    WITH now AS (SELECT * FROM em),
+    sums AS (SELECT sum(n * q) AS g, sum(n) AS whole FROM now),
+    hits AS (
+      SELECT slots.rule, slots.vote,
+             coalesce(sum(n * q) FILTER (c.vote = slots.vote), 0) AS hg, coalesce(sum(n * q), 0) AS cg,
+             coalesce(sum(n * (1 - q)) FILTER (c.vote = slots.vote), 0) AS hb, coalesce(sum(n * (1 - q)), 0) AS cb
+      FROM slots LEFT JOIN (SELECT * FROM cells JOIN now USING (votes)) AS c ON c.rule = slots.rule AND c.vote <> 0
+      GROUP BY ALL
+    ),
+    logs AS (
+      SELECT c.votes,
+             sum(CASE WHEN c.vote = 0 THEN 0 WHEN c.vote = -1 THEN ln(least((hg + 0.5) / (cg + 1), 0.002)) ELSE ln((hg + 0.5) / (cg + 1)) END) AS lg,
+             sum(CASE WHEN c.vote = 0 THEN 0 ELSE ln((hb + 0.5) / (cb + 1)) END) AS lb
+      FROM cells AS c LEFT JOIN hits ON c.rule = hits.rule AND c.vote = hits.vote GROUP BY c.votes
+    )
+    SELECT now.round + 1, now.votes, now.n,
+           1 / (1 + exp(lb + ln(1 - (g + 0.5) / (whole + 1)) - lg - ln((g + 0.5) / (whole + 1)))) AS q
+    FROM now JOIN logs USING (votes), sums WHERE now.round < {_QUALITY_ROUNDS}
+  )
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND q >= 0.5 AS kept,
+       round(q, 6) AS quality
+FROM v JOIN em USING (votes) WHERE round = {_QUALITY_ROUNDS}
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1}
