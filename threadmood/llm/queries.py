@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmood.llm import byte_bpe, packing, quality, sharding
+from threadmood.llm import byte_bpe, chat, packing, quality, sharding
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -61,9 +61,22 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(tricky).alias("text"),
+    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.read_windows(chat.format_windows(turns.unionByName(extra))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op6_sharding": op6_sharding,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_packing": op9_packing,
+    "op10_chat_formatting": op10_chat_formatting,
 }
