@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -13,10 +12,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Documents encoded at a time by one task.
-BLOCK_ROWS = 1500
-#: Units remembered by one task; when it is full the memory starts anew, results are the same.
-MEMORY_UNITS = 200_000
+from threadmood.llm.blocks import UnitIds, blocks, gathered
+
+#: Lists decoded at a time by one task.
+BLOCK_ROWS = 500
 
 Ranks = dict[bytes, int]
 
@@ -121,58 +120,26 @@ def replay_merges(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.nd
     return row[kept], np.append(0, np.cumsum(kept)[ends])
 
 
-def units(text: str, spaced=regex.compile(r"\s ")) -> list[str]:
-    """Pieces that no match of the pattern crosses: cut ahead of each space that follows no white space."""
-    if spaced.search(text):
-        return [text]
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + x for x in rest]
-
-
-def joinable(unit: str) -> bool:
-    """Whether the unit may stand in a long text of such units and still be matched as if alone."""
-    return unit[0] == " " and not unit[-1].isspace()
-
-
-class Encoder:
-    """Ids of texts; equal units of a block are encoded once."""
+class Encoder(UnitIds):
+    """Ids of texts by replaying merges over the distinct words of their fresh units."""
 
-    def __init__(self, merges: Merges, pattern: str):
-        self.merges, self.matches = merges, regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+    def __init__(self, ranks: Ranks, pattern: str):
+        sizes = np.zeros(max(ranks.values()) + 1, "int64")
+        sizes[list(ranks.values())] = [len(token) for token in ranks]
+        super().__init__(sizes)
+        self.merges, self.matches = Merges.of_ranks(ranks), regex.compile(pattern).findall
 
-    def _learn(self, fresh: list[str]) -> None:
-        joined = [unit for unit in fresh if joinable(unit)]
-        alone = [unit for unit in fresh if not joinable(unit)]
-        words = self.matches("".join(joined))
-        ends = np.cumsum(np.fromiter(map(len, words), "int64", len(words)))
-        counts = [np.searchsorted(ends, np.cumsum(np.fromiter(map(len, joined), "int64", len(joined))), "right")]
-        for unit in alone:
-            words += self.matches(unit)
-            counts.append([len(words)])
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words, counts = [], []
+        for text in texts:
+            words += (own := self.matches(text))
+            counts.append(len(own))
         index: dict[str, int] = {}
         which = np.array([index.setdefault(word, len(index)) for word in words], "int64")
         ids, starts = replay_merges([word.encode() for word in index], self.merges)
         sizes = np.diff(starts)[which]
         before = np.append(0, np.cumsum(sizes))
-        places = np.repeat(starts[which] - before[:-1], sizes) + np.arange(before[-1])
-        blob = ids[places].astype("<i4").tobytes()
-        start = 0
-        for unit, end in zip(joined + alone, (4 * before[np.concatenate(counts).astype("int64")]).tolist(), strict=True):
-            self.known[unit] = blob[start:end]
-            start = end
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Per text its ids as 32-bit little-endian numbers."""
-        if len(self.known) > MEMORY_UNITS:
-            self.known = {}
-        cut = [units(text) for text in texts]
-        known = self.known
-        fresh = {unit for own in cut for unit in own}.difference(known)
-        fresh.discard("")
-        self._learn(list(fresh))
-        known[""] = b""
-        return [b"".join([known[unit] for unit in own]) for own in cut]
+        return gathered(ids, starts[which], sizes), np.diff(before[np.append(0, np.cumsum(counts, dtype="int64"))])
 
 
 class Decoder:
@@ -190,17 +157,12 @@ class Decoder:
         ids = lists.flatten().to_numpy(zero_copy_only=False)
         sizes = self.sizes[ids]
         ends = np.append(0, np.cumsum(sizes))
-        out = self.bytes[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
+        out = gathered(self.bytes, self.starts[ids], sizes)
         counts = np.append(0, np.cumsum([0 if n is None else n for n in lists.value_lengths().to_pylist()])).astype("int64")
         bounds = pa.py_buffer(ends[counts].astype("int64").tobytes())
         return pa.Array.from_buffers(pa.large_binary(), len(lists), [None, bounds, pa.py_buffer(out.tobytes())]).cast(pa.binary())
 
 
-def _id_lists(blobs: list[bytes]) -> pa.Array:
-    offsets = np.array([0, *accumulate(len(blob) // 4 for blob in blobs)], "int32")
-    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(blobs), "<i4")))
-
-
 def encode(
     df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -214,12 +176,12 @@ def encode(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Merges.of_ranks(read_ranks(path)), pattern)
+        encoder = Encoder(read_ranks(path), pattern)
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK_ROWS):
-                own = batch.slice(start, BLOCK_ROWS)
-                blobs = encoder([text or "" for text in own.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([own.column(0), _id_lists(blobs)], names=[id_col, "ids"])
+            for own, data, bounds in blocks(batch, 1):
+                ids, starts = encoder(data, bounds)
+                lists = pa.ListArray.from_arrays(starts.astype("int32"), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([own.column(0), lists], names=[id_col, "ids"])
 
     schema = T.StructType([df.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return df.select(id_col, text_col).mapInArrow(run, schema)

@@ -10,13 +10,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from threadmood.llm.byte_bpe import MEMORY_UNITS, joinable, units
+from threadmood.llm.blocks import UnitIds, blocks
 
 CAPACITY = 1024
 #: The id that ends every document.
 END = 0
-#: Documents encoded at a time by one task.
-BLOCK_ROWS = 2000
 
 _PIECE = [
     ("start", T.LongType()),
@@ -28,49 +26,24 @@ _PIECE = [
 ]
 
 
-class TokenizerIds:
-    """Ids of texts by a tokenizer file; equal units of a block are encoded once.
-
-    Units that begin with a space and end without white space are encoded as one long text:
-    the tokenizer's own cut lies at each of their borders, and the lengths of the tokens
-    tell which ids are whose.
-    """
+class TokenizerIds(UnitIds):
+    """Ids of texts by a tokenizer file, whose pattern cuts ahead of a space as the units do."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), "int64")
-        for token, i in vocabulary.items():
-            self.bytes_of[i] = len(token)  # one character stands for one byte
+        sizes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), "int64")
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            sizes[i] = len(token)  # one character stands for one byte
         for i, token in self.tokenizer.get_added_tokens_decoder().items():
-            self.bytes_of[i] = len(token.content.encode())
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, fresh: list[str]) -> None:
-        joined = [unit for unit in fresh if joinable(unit)]
-        alone = [unit for unit in fresh if not joinable(unit)]
-        for unit, own in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.known[unit] = np.array(own.ids, "<u4").tobytes()
-        if joined:
-            [whole] = self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)
-            ids = np.array(whole.ids, "<u4")
-            borders = np.cumsum([len(unit.encode()) for unit in joined])
-            ends = 4 * np.searchsorted(np.cumsum(self.bytes_of[ids]), borders, side="right")
-            blob, start = ids.tobytes(), 0
-            for unit, end in zip(joined, ends.tolist(), strict=True):
-                self.known[unit] = blob[start:end]
-                start = end
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Per text its ids as 32-bit little-endian numbers."""
-        if len(self.known) > MEMORY_UNITS:
-            self.known = {}
-        cut_up = [units(text) for text in texts]
-        known = self.known
-        self._learn(list({unit for own in cut_up for unit in own if unit and unit not in known}))
-        return [b"".join([known[unit] for unit in own if unit]) for own in cut_up]
+            sizes[i] = len(token.content.encode())
+        super().__init__(sizes)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.array([len(ids) for ids in lists], "int64")
+        return np.concatenate([np.array(ids, "int32") for ids in lists]), counts
 
 
 def cut(tokens: int, capacity: int = CAPACITY) -> list[int]:
@@ -151,12 +124,13 @@ def pack(
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for first in range(0, batch.num_rows, BLOCK_ROWS):
-                own = batch.slice(first, BLOCK_ROWS)
-                texts = [text or "" for text in own.column(1).to_pylist()]
-                rows = []
-                for key, blob in zip(own.column(0).to_pylist(), ids_of(texts), strict=True):
-                    blob += END.to_bytes(4, "little")
+            for own, data, bounds in blocks(batch, 1):
+                ids, starts = ids_of(data, bounds)
+                ids = np.insert(ids, starts[1:], END).astype("<u4")
+                starts = starts + np.arange(len(starts))
+                whole, rows = ids.tobytes(), []
+                for i, key in enumerate(own.column(0).to_pylist()):
+                    blob = whole[4 * starts[i] : 4 * starts[i + 1]]
                     total, start = len(blob) // 4, 0
                     for length in cut(total, capacity):
                         tokens = blob[4 * start : 4 * (start + length)]
