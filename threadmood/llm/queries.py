@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmood.llm import byte_bpe, chat, packing, quality, sharding
+from threadmood.llm import byte_bpe, chat, neighbours, packing, quality, sharding
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_FILE)
     ids = byte_bpe.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -76,6 +80,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op6_sharding": op6_sharding,
+    "op7_neighbours": op7_neighbours,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_packing": op9_packing,
     "op10_chat_formatting": op10_chat_formatting,
