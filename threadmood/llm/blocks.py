@@ -13,8 +13,8 @@ BLOCK_BYTES = 3_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: An odd 64-bit number for each byte.
-_OF_BYTE = np.random.default_rng(20).integers(0, 1 << 63, 256, "uint64") << np.uint64(1) | np.uint64(1)
+#: A random 64-bit number for each byte.
+_OF_BYTE = np.random.default_rng(20).integers(0, (1 << 64) - 1, 256, "uint64")
 
 
 def blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -62,6 +62,18 @@ def inverse_powers(n: int) -> np.ndarray:
     return powers(n, _INVERSE)
 
 
+def planes(values: np.ndarray, width: int) -> bytes:
+    """Numbers byte by byte of rank, the lowest first: equal high bytes lie together and pack well."""
+    return values.astype("<u8").view("uint8").reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(blob: bytes, width: int) -> np.ndarray:
+    flat = np.frombuffer(blob, "uint8").reshape(width, -1)
+    out = np.zeros((flat.shape[1], 8), "uint8")
+    out[:, :width] = flat.T
+    return out.view("<u8").ravel()
+
+
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype="uint8")

@@ -26,18 +26,6 @@ HOT, SALTS = 1 / 64, 16
 WORD_BYTES = 6
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """Numbers byte by byte of rank, the lowest first: equal high bytes lie together and pack well."""
-    return values.astype("<u8").view("uint8").reshape(-1, 8)[:, :width].T.tobytes()
-
-
-def _from_planes(blob: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(blob, "uint8").reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), "uint8")
-    out[:, :width] = planes.T
-    return out.view("<u8").ravel()
-
-
 class Tokens:
     """The tokens of a block's texts: words in lower case, then an end each."""
 
@@ -108,22 +96,22 @@ def ask_words(block: int, texts: pa.ChunkedArray, train: np.ndarray, parts: int)
     for own in range(parts):
         here = np.flatnonzero(part == own)
         if len(here):
-            for name, value in zip(_ASK.names, (own, block, _planes(tokens.words[here], 8), b"", b"", _planes(counts[here], 4)), strict=True):
+            for name, value in zip(_ASK.names, (own, block, B.planes(tokens.words[here], 8), b"", b"", B.planes(counts[here], 4)), strict=True):
                 rows[name].append(value)
     return pa.Table.from_pydict(rows, _ASK)
 
 
 def answer_words(asked: pa.Table) -> pa.Table:
     """Counts over all blocks, to each block in the order it asked."""
-    keys = [_from_planes(blob, 8) for blob in asked["keys"].to_pylist()]
-    counts = [_from_planes(blob, 4) for blob in asked["counts"].to_pylist()]
+    keys = [B.from_planes(blob, 8) for blob in asked["keys"].to_pylist()]
+    counts = [B.from_planes(blob, 4) for blob in asked["counts"].to_pylist()]
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.bincount(at, np.concatenate(counts).astype(float), len(distinct)).astype("int64")
     totals = np.split(sums[at], np.cumsum([len(own) for own in keys])[:-1])
     n = asked.num_rows
     tokens = [int(sums.sum())] + [0] * (n - 1)  # a part's totals are told once
     kinds = [int((sums > 0).sum())] + [0] * (n - 1)
-    blobs = [_planes(own, 6) for own in totals]
+    blobs = [B.planes(own, 6) for own in totals]
     return pa.Table.from_pydict(
         {"block": asked["block"], "part": asked["part"], "counts": blobs, "sums": [b""] * n, "kinds": [b""] * n, "tokens": tokens, "distinct": kinds}, _ANSWER
     )
@@ -133,7 +121,7 @@ def _word_counts(tokens: Tokens, answers: dict[int, dict], parts: int) -> np.nda
     part = _parts(tokens.words, parts)
     out = np.zeros(len(tokens.words), "int64")
     for own, answer in answers.items():
-        out[np.flatnonzero(part == own)] = _from_planes(answer["counts"], 6)
+        out[np.flatnonzero(part == own)] = B.from_planes(answer["counts"], 6)
     return out
 
 
@@ -149,7 +137,7 @@ def ask_pairs(block: int, texts: pa.ChunkedArray, train: np.ndarray, answers: di
     for a, b in zip(starts, np.append(starts[1:], len(part)), strict=True):
         heads = _runs(context[a:b])
         sizes = np.diff(np.append(heads, b - a))
-        values = (int(part[a]), block, _planes(tokens.context_hashes[context[a:b][heads]], 8), _planes(sizes, 4), _planes(word[a:b], WORD_BYTES), _planes(counts[a:b], 4))
+        values = (int(part[a]), block, B.planes(tokens.context_hashes[context[a:b][heads]], 8), B.planes(sizes, 4), B.planes(word[a:b], WORD_BYTES), B.planes(counts[a:b], 4))
         for name, value in zip(_ASK.names, values, strict=True):
             rows[name].append(value)
     return pa.Table.from_pydict(rows, _ASK)
@@ -157,10 +145,10 @@ def ask_pairs(block: int, texts: pa.ChunkedArray, train: np.ndarray, answers: di
 
 def answer_pairs(asked: pa.Table) -> pa.Table:
     """Per pair its count over all blocks; per context the sum of counts and the kinds of words seen after it in this part."""
-    keys = [_from_planes(blob, 8) for blob in asked["keys"].to_pylist()]
-    sizes = [_from_planes(blob, 4).astype("int64") for blob in asked["sizes"].to_pylist()]
-    words = np.concatenate([_from_planes(blob, WORD_BYTES) for blob in asked["words"].to_pylist()])
-    counts = np.concatenate([_from_planes(blob, 4) for blob in asked["counts"].to_pylist()]).astype("int64")
+    keys = [B.from_planes(blob, 8) for blob in asked["keys"].to_pylist()]
+    sizes = [B.from_planes(blob, 4).astype("int64") for blob in asked["sizes"].to_pylist()]
+    words = np.concatenate([B.from_planes(blob, WORD_BYTES) for blob in asked["words"].to_pylist()])
+    counts = np.concatenate([B.from_planes(blob, 4) for blob in asked["counts"].to_pylist()]).astype("int64")
     contexts, of_key = np.unique(np.concatenate(keys), return_inverse=True)
     context = np.repeat(of_key, np.concatenate(sizes))
     order = np.lexsort((words, context))
@@ -179,9 +167,9 @@ def answer_pairs(asked: pa.Table) -> pa.Table:
         {
             "block": asked["block"],
             "part": asked["part"],
-            "counts": [_planes(own, 6) for own in np.split(totals, pair_ends)],
-            "sums": [_planes(own, 6) for own in np.split(context_sums[of_key], key_ends)],
-            "kinds": [_planes(own, 6) for own in np.split(context_kinds[of_key], key_ends)],
+            "counts": [B.planes(own, 6) for own in np.split(totals, pair_ends)],
+            "sums": [B.planes(own, 6) for own in np.split(context_sums[of_key], key_ends)],
+            "kinds": [B.planes(own, 6) for own in np.split(context_kinds[of_key], key_ends)],
             "tokens": [0] * n,
             "distinct": [0] * n,
         },
@@ -249,10 +237,10 @@ def scored_block(texts: pa.ChunkedArray, train: np.ndarray, word_answers: dict,
     starts = _runs(part)
     for a, b in zip(starts, np.append(starts[1:], len(part)), strict=True):
         answer = pair_answers[int(part[a])]
-        counts[order[a:b]] = _from_planes(answer["counts"], 6)
+        counts[order[a:b]] = B.from_planes(answer["counts"], 6)
         heads = context[a:b][_runs(context[a:b])]
-        sums[heads] += _from_planes(answer["sums"], 6).astype("int64")
-        kinds[heads] += _from_planes(answer["kinds"], 6).astype("int64")
+        sums[heads] += B.from_planes(answer["sums"], 6).astype("int64")
+        kinds[heads] += B.from_planes(answer["kinds"], 6).astype("int64")
     width = len(tokens.words) + 1
     arcs = pairs // width * (width - 1) + pairs % width
     automaton = Automaton(tokens, word_counts, total, distinct, arcs, counts, sums, kinds)

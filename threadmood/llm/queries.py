@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmood.llm import byte_bpe, chat, html_text, language_model, neighbours, packing, quality, sharding
+from threadmood.llm import byte_bpe, chat, html_text, language_model, neighbours, packing, passages, quality, sharding
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -41,6 +41,18 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.remove_repeats(_table(spark, sf_dir, "documents"), digest=True)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.lower(F.hex("kept")).alias("kept_sha256"),
+    )
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -90,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_html_extraction": op4_html_extraction,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
     "op7_neighbours": op7_neighbours,
     "op8_byte_bpe": op8_byte_bpe,
