@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmood.llm import byte_bpe, chat, html_text, language_model, neighbours, packing, passages, quality, sharding
+from threadmood.llm import byte_bpe, chat, html_text, language_model, near_copies, neighbours, packing, passages, quality, sharding
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -32,6 +32,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copies(_table(spark, sf_dir, "documents"), words=2)
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(_table(spark, sf_dir, "documents"))
 
@@ -100,6 +104,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_near_copies": op2_near_copies,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_html_extraction": op4_html_extraction,
     "op5_suffix_dedup": op5_suffix_dedup,
