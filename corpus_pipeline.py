@@ -1,27 +1,65 @@
-"""Documents to training sequences: quality rules, near and passage dedup, packing."""
+"""Documents to training sequences: quality rules, near and passage dedup, packing.
+
+Each stage takes the documents that the one before has kept, and its decisions take effect: the
+quality rules and the near-copy stage drop rows, the passage stage cuts texts, and the last one
+returns pieces of sequences. Functions of (spark, docs, sf_dir), as in STAGES.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from threadmood.llm import packing
+from threadmood.llm import near_copies, packing, passages, quality
 from threadmood.llm.queries import TOKENIZER_FILE
+from threadmood.llm.shared import stored
+
+
+def quality_kept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose rules give a posterior quality of one half or more and that pass the base rules.
+
+    NULL and empty texts are dropped, since they have no words. Each row is judged by itself.
+    """
+    return quality.judged(docs, whole=True).where("kept").select("row.*")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 or more over five-word shingles, the one with the smallest id.
+
+    Documents without words are linked with nothing and stay. Repeated rows of one id stay together.
+    """
+    kept = near_copies.near_copies(docs, words=5).where("kept").select("doc_id").distinct().hint("shuffle_hash")
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+
+
+def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of any 200-byte string that starts twice or more; ``n_chars`` is counted anew.
+
+    A document of which nothing is left stays, with an empty text.
+    """
+    return passages.without_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all kept documents, placed in sequences."""
+    """Pieces of all documents, placed in sequences; see packing.pack."""
     return packing.pack(docs, public_tokenizers.path(TOKENIZER_FILE))
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("quality rules", quality_kept),
+    ("near copies", one_of_each),
+    ("repeated passages", without_passages),
+    ("packing", packed),
+]
 
-#: Signatures and byte spans have no SQL form; the tests compare with a brute-force version.
+#: Components and byte spans have no SQL form of bearable cost; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each result written once to the shared folder and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

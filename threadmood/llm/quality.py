@@ -80,14 +80,15 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < WINDOW, 0).otherwise(let(let(hashes, windows), of_hashes))
 
 
-def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, measures): counts over whole texts; NULL counts as an empty text."""
+def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """(id, measures), and ``row``, the whole row, if wanted: counts over whole texts; NULL counts as an empty text."""
     text = F.col("text")
     spaced = lambda c: F.translate(c, SPACES, "")
     words = F.filter(F.split(text, SPACES_PATTERN), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda line: spaced(line) != "")
-    own = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    own = own.select("id", "text", words.alias("words"), lines.alias("lines"))
+    row = [F.struct(*df.columns).alias("row")] if whole else []
+    own = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *row)
+    own = own.select("id", "text", words.alias("words"), lines.alias("lines"), *(["row"] if whole else []))
     echoes = let(F.col("words"), lambda w: F.size(F.filter(w, lambda x, i: F.coalesce(F.get(w, i - 1) == x, F.lit(False)))))
     return own.select(
         F.col("id").alias(id_col),
@@ -100,6 +101,7 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
         echoes.cast("long").alias("n_echoes"),
         (F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}+", ""))).cast("long").alias("n_upper"),
+        *(["row"] if whole else []),
     )
 
 
@@ -166,9 +168,14 @@ def posteriors(votes: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFram
 
 
 def judged(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, rounds: int = ROUNDS
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.5,
+    rounds: int = ROUNDS,
+    whole: bool = False,
 ) -> DataFrame:
-    """(id, measures, votes, base_failed, quality, kept) per row.
+    """(id, measures, votes, base_failed, quality, kept) per row, and the whole row as ``row`` if wanted.
 
     ``base_failed``: under 10 words, or over 20 % of the words in repeated windows of five.
     ``kept``: not base_failed and a posterior quality of at least ``threshold``. The texts are
@@ -178,7 +185,7 @@ def judged(
     are judged each; other columns are ignored; an empty table gives an empty result.
     """
     votes = rules()
-    own = measured(df, id_col, text_col)
+    own = measured(df, id_col, text_col, whole)
     own = own.withColumn("votes", F.array(*(vote.cast("int") for vote in votes.values())))
     own = stored(own, "quality")
     words, repeated = F.col("n_words"), F.col("n_repeat_words")
