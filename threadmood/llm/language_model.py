@@ -61,21 +61,44 @@ def _parts(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (B.mixed(hashes) % np.uint64(parts)).astype("int64")
 
 
-def _routes(tokens: Tokens, pairs: np.ndarray, counts: np.ndarray, total: int, parts: int) -> tuple:
-    """Where each pair is counted: contexts and words of the pairs, an order by part, context and word, and the part."""
-    width = len(tokens.words) + 1
-    context, word = pairs // width, pairs % width
-    hot = np.append(counts > total * HOT, True)
-    salt = np.where(hot[context], 1 + tokens.words[word] % np.uint64(SALTS), 0).astype("uint64")
-    part = _parts(tokens.context_hashes[context] + salt * np.uint64(0x9E3779B97F4A7C15), parts)
-    cut = tokens.words[word] & np.uint64((1 << 8 * WORD_BYTES) - 1)
-    order = np.lexsort((cut, tokens.context_hashes[context], part))
-    return context[order], cut[order], order, part[order]
+class Routes:
+    """Where the pairs of a block are counted: per part, contexts in ascending order and the words after each.
 
+    A hot context is split by its words over SALTS parts, and a block that has it asks all of
+    them, since each knows only its share of what follows the context.
+    """
 
-def _runs(values: np.ndarray) -> np.ndarray:
-    """Where a new value begins."""
-    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, "int64")
+    def __init__(self, tokens: Tokens, pairs: np.ndarray, word_counts: np.ndarray, total: int, parts: int):
+        width = len(tokens.words) + 1
+        context, word = pairs // width, pairs % width
+        is_hot = np.append(word_counts > total * HOT, True)
+        salt = np.where(is_hot[context], 1 + tokens.words[word] % np.uint64(SALTS), 0).astype("uint64")
+
+        def part_of(context: np.ndarray, salt: np.ndarray) -> np.ndarray:
+            return _parts(tokens.context_hashes[context] + salt * np.uint64(0x9E3779B97F4A7C15), parts)
+
+        part = part_of(context, salt)
+        cut = tokens.words[word] & np.uint64((1 << 8 * WORD_BYTES) - 1)
+        #: The pairs by part, context and word.
+        self.order = np.lexsort((cut, tokens.context_hashes[context], part))
+        self.words, self.pair_part = cut[self.order], part[self.order]
+        hot = np.unique(context[is_hot[context]])
+        salts = np.tile(np.arange(1, SALTS + 1, dtype="uint64"), len(hot))
+        hot = np.repeat(hot, SALTS)
+        whole = np.append(part, part_of(hot, salts)) * width + np.append(context, hot)
+        keys, at = np.unique(whole, return_inverse=True)
+        sizes = np.bincount(at[: len(pairs)], minlength=len(keys))
+        order = np.lexsort((tokens.context_hashes[keys % width], keys // width))
+        self.key_part, self.context, self.sizes = keys[order] // width, keys[order] % width, sizes[order]
+
+    def parts(self):
+        """(part, its contexts, its pairs) as slices."""
+        for part in np.unique(self.key_part).tolist():
+            yield (
+                part,
+                slice(*np.searchsorted(self.key_part, [part, part + 1])),
+                slice(*np.searchsorted(self.pair_part, [part, part + 1])),
+            )
 
 
 _ASK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
@@ -130,14 +153,12 @@ def ask_pairs(block: int, texts: pa.ChunkedArray, train: np.ndarray, answers: di
     tokens = Tokens(texts)
     pairs, at = tokens.pairs()
     counts = np.bincount(at[tokens.training(train)], minlength=len(pairs))
-    context, word, order, part = _routes(tokens, pairs, _word_counts(tokens, answers, parts), total, parts)
-    counts = counts[order]
+    routes = Routes(tokens, pairs, _word_counts(tokens, answers, parts), total, parts)
+    counts = counts[routes.order]
     rows = {name: [] for name in _ASK.names}
-    starts = _runs(part)
-    for a, b in zip(starts, np.append(starts[1:], len(part)), strict=True):
-        heads = _runs(context[a:b])
-        sizes = np.diff(np.append(heads, b - a))
-        values = (int(part[a]), block, B.planes(tokens.context_hashes[context[a:b][heads]], 8), B.planes(sizes, 4), B.planes(word[a:b], WORD_BYTES), B.planes(counts[a:b], 4))
+    for part, keys, own in routes.parts():
+        heads = tokens.context_hashes[routes.context[keys]]
+        values = (part, block, B.planes(heads, 8), B.planes(routes.sizes[keys], 4), B.planes(routes.words[own], WORD_BYTES), B.planes(counts[own], 4))
         for name, value in zip(_ASK.names, values, strict=True):
             rows[name].append(value)
     return pa.Table.from_pydict(rows, _ASK)
@@ -152,7 +173,8 @@ def answer_pairs(asked: pa.Table) -> pa.Table:
     contexts, of_key = np.unique(np.concatenate(keys), return_inverse=True)
     context = np.repeat(of_key, np.concatenate(sizes))
     order = np.lexsort((words, context))
-    new = np.append(True, (words[order][1:] != words[order][:-1]) | (context[order][1:] != context[order][:-1]))
+    new = np.ones(len(words), bool)
+    new[1:] = (words[order][1:] != words[order][:-1]) | (context[order][1:] != context[order][:-1])
     group = np.cumsum(new) - 1
     sums = np.bincount(group, counts[order].astype(float)).astype("int64")
     first = context[order][new]
@@ -231,16 +253,14 @@ def scored_block(texts: pa.ChunkedArray, train: np.ndarray, word_answers: dict,
     tokens = Tokens(texts)
     word_counts = _word_counts(tokens, word_answers, parts)
     pairs, _ = tokens.pairs()
-    context, _, order, part = _routes(tokens, pairs, word_counts, total, parts)
+    routes = Routes(tokens, pairs, word_counts, total, parts)
     counts = np.zeros(len(pairs), "int64")
     sums, kinds = np.zeros(len(tokens.words) + 1, "int64"), np.zeros(len(tokens.words) + 1, "int64")
-    starts = _runs(part)
-    for a, b in zip(starts, np.append(starts[1:], len(part)), strict=True):
-        answer = pair_answers[int(part[a])]
-        counts[order[a:b]] = B.from_planes(answer["counts"], 6)
-        heads = context[a:b][_runs(context[a:b])]
-        sums[heads] += B.from_planes(answer["sums"], 6).astype("int64")
-        kinds[heads] += B.from_planes(answer["kinds"], 6).astype("int64")
+    for part, keys, own in routes.parts():
+        answer = pair_answers[part]
+        counts[routes.order[own]] = B.from_planes(answer["counts"], 6)
+        sums[routes.context[keys]] += B.from_planes(answer["sums"], 6).astype("int64")
+        kinds[routes.context[keys]] += B.from_planes(answer["kinds"], 6).astype("int64")
     width = len(tokens.words) + 1
     arcs = pairs // width * (width - 1) + pairs % width
     automaton = Automaton(tokens, word_counts, total, distinct, arcs, counts, sums, kinds)
