@@ -84,7 +84,9 @@ class Names:
         self.width = width
 
     def _bounds(self) -> Iterator[tuple[int, int, int]]:
-        starts = np.flatnonzero(np.append(True, self.part[1:] != self.part[:-1])) if len(self.part) else []
+        if not len(self.part):
+            return
+        starts = np.flatnonzero(np.append(True, self.part[1:] != self.part[:-1]))
         for a, b in zip(starts, np.append(starts[1:], len(self.part)), strict=True):
             yield int(self.part[a]), int(a), int(b)
 
