@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadmood.llm.html_labels import PAGES
@@ -197,4 +196,4 @@ def extract(df: DataFrame, html_col: str = "html") -> DataFrame:
                 )
 
     schema = T.StructType([*kept, T.StructField("text", T.StringType())])
-    return df.select(F.col(html_col).alias("page"), *(f.name for f in kept)).mapInArrow(run, schema)
+    return df.select(html_col, *(f.name for f in kept)).mapInArrow(run, schema)

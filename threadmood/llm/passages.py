@@ -270,6 +270,6 @@ def without_repeats(df: DataFrame, text_col: str = "text") -> DataFrame:
     columns = [
         F.when(F.col(c).isNotNull(), F.col("kept_")).alias(c) if c == text_col else F.col(c) for c in df.columns
     ]
-    present = F.col(text_col).isNotNull().cast("string")
+    present = F.when(F.col(text_col).isNotNull(), F.lit(""))
     rows = df.withColumn("key_", text_key(text_col)).withColumn(text_col, present)
     return rows.join(texts, "key_").select(*columns)
