@@ -21,9 +21,10 @@ TABLES = 2
 #: A table's buckets are visited until the estimated chance to have met a neighbour reaches this.
 SUCCESS = 0.82
 WIDTH = 1.0
-#: Rows meant for a bucket, and rows of it that one group compares at most on average.
-BUCKET_ROWS, PART_ROWS = 200, 50_000
-MOST_FUNCTIONS = 5
+#: Rows meant for a bucket at most, and rows of it that one group compares, on average. More functions
+#: make more and smaller buckets, and as many more to visit.
+BUCKET_ROWS, PART_ROWS = 5000, 50_000
+LEAST_FUNCTIONS, MOST_FUNCTIONS = 3, 5
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray | None]:
@@ -159,7 +160,7 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
     )
     single = index.select(F.element_at("ids", 1).alias("vec_id"), "vector")
     total = index.count()
-    functions = max(1, min(MOST_FUNCTIONS, round(math.log(max(total, 1) / BUCKET_ROWS, 4))))
+    functions = max(LEAST_FUNCTIONS, min(MOST_FUNCTIONS, math.ceil(math.log(max(total, 1) / BUCKET_ROWS, 4))))
     distance = _typical_distance(single)
     parts = max(1, round(total / (4**functions * PART_ROWS)))
 
