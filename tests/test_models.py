@@ -2,6 +2,7 @@ import dataclasses
 import os
 
 import pytest
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
 from threadmood import schemas
@@ -14,7 +15,7 @@ from threadmood.sources import readers, writers
 
 @pytest.fixture(scope="module")
 def inputs(spark, sf_dir):
-    return tables.inputs(spark, sf_dir, spread=True)
+    return tables.inputs(spark, sf_dir, 8)
 
 
 @pytest.fixture(scope="module")
@@ -93,6 +94,27 @@ def test_saved_models_decide_the_same(frame, pair, tmp_path):
     assert sorted(first.collect()) == sorted(second.collect())
 
 
+def test_models_of_another_vocabulary_are_trained_anew(inputs, vectorizer, frame, tmp_path):
+    """The vectorizer is lost and comes back with other terms: the models must not be paired with it."""
+    out = str(tmp_path)
+    config = dataclasses.replace(DJT, folds=2)
+    first = run.trained_models(inputs, config, vectorizer, out, out + "/training.parquet")
+    again = run.trained_models(inputs, config, vectorizer, out, out + "/training.parquet")
+    assert again["pos"].bestModel.numFeatures == first["pos"].bestModel.numFeatures
+    fewer = CountVectorizerModel.from_vocabulary(
+        vectorizer.vocabulary[1:], inputCol="tokens", outputCol="features", binary=True
+    )
+    other = run.trained_models(inputs, config, fewer, out, out + "/other/training.parquet")
+    assert other["pos"].bestModel.numFeatures == len(vectorizer.vocabulary) - 1
+
+
+def test_vocabulary_has_no_cap_and_one_order(spark):
+    rows = spark.createDataFrame([([f"t{i}" for i in range(300_000)],)] * 5, "tokens array<string>")
+    terms = features.fit_vectorizer(rows.repartition(4)).vocabulary
+    assert len(terms) == 300_000 > 1 << 18
+    assert terms == sorted(terms)
+
+
 def test_weights_equal_repeated_rows(spark, frame):
     """Weight two trains the same model as two rows."""
     weighted = frame.withColumn("weight", F.when(F.col("pos_label") == 1, 2.0).otherwise(1.0))
@@ -165,6 +187,7 @@ def test_targets_sharing_a_scan_score_the_same(spark, inputs, vectorizer, pair,
     for config in (DEM, DJT):
         for name, model in pair.items():
             writers.save_model(model, f"{together}/{config.model_dir}/{name}.model")
+        writers.save_tie(spark, *run.vocabulary_tie(config, vectorizer, together))
     run.run_targets(inputs, together, (DEM, DJT))
     for config in (DEM, DJT):
         shared = readers.read_parquet(spark, f"{together}/{config.scored_path}")
@@ -222,6 +245,7 @@ def test_run_from_files(spark, inputs, vectorizer, pair, out_dir, tmp_path):
     writers.save_model(vectorizer, target + "/cvModel")
     for name, model in pair.items():
         writers.save_model(model, f"{target}/{DJT.model_dir}/{name}.model")
+    writers.save_tie(spark, *run.vocabulary_tie(DJT, vectorizer, target))
     from_files = run.run_target(loaded, DJT, target)
     from_tables = run.run_target(inputs, DJT, out_dir)
     for name in DJT.reports:

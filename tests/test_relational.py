@@ -193,6 +193,16 @@ def test_stable_halves_cover_all_and_differ_by_salt(spark):
     assert 350 < first.intersect(other).count() < 650
 
 
+def test_small_fractions_and_null_ids(spark):
+    ids = spark.range(100_000).selectExpr("cast(id AS string) AS id")
+    assert 0 < sampling.stable_sample(ids, 4e-4).count() < 100
+    assert sampling.stable_sample(spark.range(2_000_000).selectExpr("cast(id AS string) AS id"), 4e-5).count() > 0
+    some = ids.limit(2).union(spark.createDataFrame([(None,)], "id string"))
+    assert sampling.stable_sample(some, 1.0).count() == 3
+    first, second = sampling.stable_split(some)
+    assert first.count() + second.count() == 3
+
+
 def test_folds_are_even(spark):
     ids = spark.range(5000).select(F.col("id").cast("string").alias("id"))
     sizes = sampling.with_fold(ids, 5).groupBy("fold").count().collect()

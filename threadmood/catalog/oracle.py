@@ -159,7 +159,7 @@ _DAY = "CAST(make_timestamp(created_utc * 1000000) AS DATE)"
 
 
 def _bucket(key: str) -> str:
-    return f"CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % 10000"
+    return f"CAST(('0x' || substr(md5(coalesce({key}, '')), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE"
 
 
 def _report(key: str, name: str) -> str:
@@ -183,8 +183,8 @@ def _filtered(condition: str) -> str:
 
 
 def _multi_target() -> str:
-    # fixed values: target, label column, sample buckets
-    targets = (("dem", "labeldem", 500), ("gop", "labelgop", 500), ("djt", "labeldjt", 1000))
+    # fixed values: target, label column, sample fraction
+    targets = (("dem", "labeldem", 0.05), ("gop", "labelgop", 0.05), ("djt", "labeldjt", 0.1))
     daily = [
         f"SELECT '{name}' AS target, {_DAY} AS date, {_PERCENTS} FROM scored_{name} "
         f"WHERE {_bucket('id')} < {limit} GROUP BY 2"
@@ -210,6 +210,10 @@ ORACLE_SQL: dict[str, str] = {
         select="SELECT CAST(Input_id AS INTEGER) AS Input_id, labeldem, labelgop, labeldjt "
         "FROM labeled",
     ),
+    "scan_csv_by_name": _with(
+        _LABELS, select="SELECT Input_id, labeldem, labelgop, labeldjt FROM labeled"
+    ),
+    "scan_json_text_epoch": _ALL_COMMENTS,
     "ingest_roundtrip": _ALL_COMMENTS,
     "materialize_if_absent": _with(_COMMENTS, select="SELECT id, score FROM comments"),
     "report_csv_roundtrip": _BY_DAY,
@@ -259,11 +263,11 @@ ORACLE_SQL: dict[str, str] = {
         "GROUP BY ALL",
     ),
     "sample_stable": _with(
-        _COMMENTS, select=f"SELECT id, score FROM comments WHERE {_bucket('id')} < 1000"
+        _COMMENTS, select=f"SELECT id, score FROM comments WHERE {_bucket('id')} < 0.1"
     ),
     "split_stable": _with(
         _LABELS,
-        select=f"SELECT Input_id, CASE WHEN {_bucket('Input_id')} < 5000 THEN 'train' "
+        select=f"SELECT Input_id, CASE WHEN {_bucket('Input_id')} < 0.5 THEN 'train' "
         "ELSE 'test' END AS half FROM labeled",
     ),
     "fn_right": _with(_COMMENTS, select="SELECT id, right(link_id, 6) AS story_key FROM comments"),

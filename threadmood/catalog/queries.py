@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadmood import schemas
+from threadmood.catalog import fixtures
 from threadmood.functions import python_udf, scalar, text
 from threadmood.operators import (
     features,
@@ -28,7 +29,7 @@ from threadmood.operators import (
 )
 from threadmood.plans import run, tables
 from threadmood.plans.config import DJT, TARGETS, VECTORIZER_PATH, TargetConfig
-from threadmood.sources import paths, readers, writers
+from threadmood.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,8 +44,8 @@ def _tokens_shown(tokens: Column, name: str = "tokens") -> list[Column]:
 
 
 def _written_json(spark: SparkSession, sf_dir: str) -> str:
-    path = paths.working_path(spark, "comments.json")
-    comments = tables.inputs(spark, sf_dir, spread=True).comments
+    path = fixtures.working_path(spark, "comments.json")
+    comments = tables.inputs(spark, sf_dir, fixtures.cores(spark)).comments
     comments.write.option("compression", "bzip2").json(path)
     return path
 
@@ -58,7 +59,7 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written_labels(spark: SparkSession, sf_dir: str) -> str:
-    path = paths.working_path(spark, "labeled_data.csv")
+    path = fixtures.working_path(spark, "labeled_data.csv")
     tables.inputs(spark, sf_dir).labels.write.option("header", True).csv(path)
     return path
 
@@ -67,26 +68,45 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_labels(spark, _written_labels(spark, sf_dir))
 
 
+def scan_csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns in another order than declared, whole numbers written as decimals, and a column more."""
+    path = fixtures.working_path(spark, "labeled_data.csv")
+    decimal = [F.col(c).cast("decimal(5, 1)").alias(c) for c in ("labeldjt", "labelgop", "labeldem")]
+    rows = tables.inputs(spark, sf_dir).labels.select(decimal[0], F.lit("x").alias("note"), "Input_id", *decimal[1:])
+    rows.write.option("header", True).csv(path)
+    return readers.read_labels(spark, path)
+
+
+def scan_json_text_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epochs held as text, some with a fraction of zero."""
+    path = fixtures.working_path(spark, "comments.json")
+    comments = tables.inputs(spark, sf_dir, fixtures.cores(spark)).comments
+    epoch = F.col("created_utc").cast("string")
+    text = F.when(F.col("score") % 2 == 0, F.concat(epoch, F.lit(".0"))).otherwise(epoch)
+    comments.withColumn("created_utc", text).write.json(path)
+    return readers.read_json(spark, path, schemas.COMMENTS)
+
+
 def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_labels(spark, _written_labels(spark, sf_dir), infer_schema=True)
 
 
 def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = paths.working_path(spark, "comments.parquet")
+    path = fixtures.working_path(spark, "comments.parquet")
     writers.ingest(scan_json(spark, sf_dir), path)
     return readers.read_parquet(spark, path)
 
 
 def materialize_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second write finds the first one's table and leaves it alone."""
-    path = paths.working_path(spark, "comments.parquet")
+    path = fixtures.working_path(spark, "comments.parquet")
     comments = tables.inputs(spark, sf_dir).comments.select("id", "score")
     writers.materialize(comments, path)
     return writers.materialize(comments.withColumn("score", F.lit(-1)), path)
 
 
 def report_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = paths.working_path(spark, "question2.csv")
+    path = fixtures.working_path(spark, "question2.csv")
     writers.write_report(reports.report(_truth(spark, sf_dir), "by_day", ordered=False), path)
     return readers.read_report(spark, path, "by_day")
 
@@ -113,7 +133,7 @@ def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = tables.inputs(spark, sf_dir, spread=True)
+    inputs = tables.inputs(spark, sf_dir, fixtures.cores(spark))
     readers.register_views(inputs.comments, inputs.stories, inputs.labels)
     python_udf.register_sql_functions(spark)
     tokens = spark.sql("SELECT id, sanitize(body) AS tokens FROM commentsTable")
@@ -130,11 +150,11 @@ def labeled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comment_story(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = tables.inputs(spark, sf_dir)
-    return joins.comment_story(inputs.comments, inputs.stories)
+    return joins.comment_story(inputs.comments, inputs.stories, keys=inputs.comments)
 
 
-def _bodies(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    return tables.inputs(spark, sf_dir, spread).comments.select("id", "body")
+def _bodies(spark: SparkSession, sf_dir: str, deal: int | None = None) -> DataFrame:
+    return tables.inputs(spark, sf_dir, deal).comments.select("id", "body")
 
 
 def filter_sarcasm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +248,7 @@ def fn_epoch_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _text_query(function: Callable[[Column], Column], name: str = "text") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bodies = _bodies(spark, sf_dir, spread=True)
+        bodies = _bodies(spark, sf_dir, fixtures.cores(spark))
         return bodies.select("id", function(F.col("body")).alias(name))
 
     return query
@@ -236,7 +256,7 @@ def _text_query(function: Callable[[Column], Column], name: str = "text") -> Que
 
 def _token_query(function: Callable[[Column], Column]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bodies = _bodies(spark, sf_dir, spread=True)
+        bodies = _bodies(spark, sf_dir, fixtures.cores(spark))
         return bodies.select("id", function(F.col("body")).alias("tokens")).select(
             "id", *_tokens_shown(F.col("tokens"))
         )
@@ -276,11 +296,11 @@ def _output_folder(spark: SparkSession, sf_dir: str) -> str:
     """Where this application keeps the models of these tables, to train them once."""
     tables_name = sf_dir.strip("/").replace("/", "-")
     application = spark.sparkContext.applicationId
-    return posixpath.join(paths.shared_folder(spark), "threadmood", application, tables_name)
+    return posixpath.join(fixtures.shared_folder(spark), "threadmood", application, tables_name)
 
 
 def _labeled_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = tables.inputs(spark, sf_dir, spread=True)
+    inputs = tables.inputs(spark, sf_dir, fixtures.cores(spark))
     labeled = joins.labeled_comments(inputs.comments.select("id", "body"), inputs.labels)
     return features.with_tokens(labeled)
 
@@ -290,7 +310,7 @@ def vocab_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectorizer_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = paths.working_path(spark, VECTORIZER_PATH)
+    path = fixtures.working_path(spark, VECTORIZER_PATH)
     writers.save_model(features.fit_vectorizer(_labeled_tokens(spark, sf_dir)), path)
     saved = readers.read_parquet(spark, posixpath.join(path, "data"))
     return saved.select(F.explode("vocabulary").alias("term"))
@@ -298,7 +318,7 @@ def vectorizer_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vectorize_nnz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All comments against the vocabulary of the labelled ones."""
-    inputs = tables.inputs(spark, sf_dir, spread=True)
+    inputs = tables.inputs(spark, sf_dir, fixtures.cores(spark))
     model = run.vectorizer(inputs, _output_folder(spark, sf_dir))
     tokens = features.with_tokens(inputs.comments.select("id", "body"))
     return features.with_nonzeros(features.vectorize(tokens, model)).select("id", "nonzeros")
@@ -310,7 +330,7 @@ def _frame_path(spark: SparkSession, sf_dir: str) -> str:
 
 def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training table of the djt target, made once per application."""
-    inputs = tables.inputs(spark, sf_dir, spread=True)
+    inputs = tables.inputs(spark, sf_dir, fixtures.cores(spark))
     model = run.vectorizer(inputs, _output_folder(spark, sf_dir))
     frame = run.training_frame(inputs, model, _frame_path(spark, sf_dir))
     return labels.binarize(frame, DJT.label_col)
@@ -334,7 +354,7 @@ def _fitted(polarity: models.Polarity) -> Query:
 
 
 def _trained(spark: SparkSession, sf_dir: str):
-    inputs = tables.inputs(spark, sf_dir, spread=True)
+    inputs = tables.inputs(spark, sf_dir, fixtures.cores(spark))
     home = _output_folder(spark, sf_dir)
     model = run.vectorizer(inputs, home)
     pair = run.trained_models(inputs, DJT, model, home, _frame_path(spark, sf_dir))
@@ -363,12 +383,12 @@ def eval_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled rows on which a saved and reloaded model decides differently: none."""
+    """All labelled rows, and whether a saved and reloaded model decides the same."""
     frame = _frame(spark, sf_dir)
     _, _, pair = _trained(spark, sf_dir)
     copies = {}
     for name, model in pair.items():
-        path = paths.working_path(spark, f"{name}.model")
+        path = fixtures.working_path(spark, f"{name}.model")
         writers.save_model(model, path)
         copies[name] = models.load_model(path)
     before = scoring.apply_models(frame, pair).select("id", "pos", "neg")
@@ -390,7 +410,7 @@ def score_pos_neg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def checkpoint_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs, vectorizer, pair = _trained(spark, sf_dir)
-    target = paths.working_path(spark, "djt")
+    target = fixtures.working_path(spark, "djt")
     return run.scored_table(inputs, DJT, vectorizer, pair, target)
 
 
@@ -401,10 +421,11 @@ def _truth(spark: SparkSession, sf_dir: str, config: TargetConfig = DJT) -> Data
     """The scored table with the true label's flags in place of predictions."""
     inputs = tables.inputs(spark, sf_dir)
     comments = filters.eligible(inputs.comments)
-    flagged = _flagged(comments, inputs.labels, config.label_col).withColumns(
+    labeled = comments.join(inputs.labels, F.col("id") == F.col("Input_id"))
+    flagged = labels.binarize(labeled, config.label_col).withColumns(
         {"pos": F.col("pos_label").cast("double"), "neg": F.col("neg_label").cast("double")}
     )
-    return joins.comment_story(flagged, inputs.stories, carry=("pos", "neg"))
+    return joins.comment_story(flagged, inputs.stories, carry=("pos", "neg"), keys=inputs.comments)
 
 
 def _report_query(name: str) -> Query:
@@ -427,7 +448,7 @@ def multi_target_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multi_target_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run of all targets with their models: the reports as written."""
-    inputs = tables.inputs(spark, sf_dir, spread=True)
+    inputs = tables.inputs(spark, sf_dir, fixtures.cores(spark))
     home = _output_folder(spark, sf_dir)
     parts = []
     for target, written in run.run_targets(inputs, home).items():
@@ -451,6 +472,8 @@ QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "scan_csv": scan_csv,
     "scan_csv_inferred": scan_csv_inferred,
+    "scan_csv_by_name": scan_csv_by_name,
+    "scan_json_text_epoch": scan_json_text_epoch,
     "ingest_roundtrip": ingest_roundtrip,
     "materialize_if_absent": materialize_if_absent,
     "report_csv_roundtrip": report_csv_roundtrip,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from threadmood.functions import rules
 
-BUCKETS = 10_000
+#: Stable hashes are whole numbers below this.
+HASHES = 1 << 32
 
 
 def story_key(link_id: Column) -> Column:
@@ -34,11 +35,20 @@ def percent(flag: Column) -> Column:
     return 100 * F.sum(flag) / F.count("*")
 
 
-def bucket(key: Column) -> Column:
-    """Stable bucket in [0, BUCKETS): the same on every run, engine and retry."""
-    digits = F.substring(F.md5(key), 1, 8)
-    return F.conv(digits, 16, 10).cast("bigint") % BUCKETS
+def key_hash(key: Column, salt: str = "") -> Column:
+    """Whole number in [0, HASHES): the same on every run, engine and retry. NULL counts as an empty key."""
+    digits = F.substring(F.md5(F.concat(F.lit(salt), F.coalesce(key, F.lit("")))), 1, 8)
+    return F.conv(digits, 16, 10).cast("bigint")
 
 
-def in_fraction(key: Column, fraction: float) -> Column:
-    return bucket(key) < round(fraction * BUCKETS)
+def in_fraction(key: Column, fraction: float, salt: str = "") -> Column:
+    return key_hash(key, salt) < F.lit(fraction * HASHES)
+
+
+def whole_number(text: Column, kind: str = "bigint") -> Column:
+    """The whole number a text stands for, also written as ``5.0``; blank is NULL, anything else an error."""
+    number = text.try_cast("decimal(38, 10)")
+    whole = number.cast(kind)
+    wrong = number.isNull() | (number != whole)
+    refused = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(kind)
+    return F.when(text.isNull() | (F.trim(text) == ""), F.lit(None).cast(kind)).when(wrong, refused).otherwise(whole)

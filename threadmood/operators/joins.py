@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadmood.functions.scalar import story_key
-from threadmood.sources.sizes import broadcast_if_small, fits_broadcast, shuffle_partitions
+from threadmood.sources.sizes import fits_broadcast, shuffle_partitions
 
 
 def hot_keys(keys: DataFrame, key: str) -> DataFrame:
@@ -67,11 +67,11 @@ def labeled_comments(comments: DataFrame, labels: DataFrame) -> DataFrame:
     """Comment columns of the labelled comments; n labels for an id give n rows.
 
     Labels are counted per id before the join, so an id with very many of them is one
-    row there, and its repeats are made only where its comment lies. Hand-made labels
-    are small enough to broadcast, so no comment moves; more of them are shuffled.
+    row there, and its repeats are made only where its comment lies. Labels under
+    Spark's broadcast limit move no comment; more of them are shuffled.
     """
     counts = labels.groupBy("Input_id").agg(F.count("*").alias("labels_of_id"))
-    joined = comments.join(broadcast_if_small(counts), comments["id"] == counts["Input_id"])
+    joined = comments.join(counts, comments["id"] == counts["Input_id"])
     repeats = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("labels_of_id")))
     return joined.select(*comments.columns, repeats.alias("nth")).drop("nth")
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadmood.functions.scalar import indicator
-from threadmood.sources.sizes import broadcast_if_small
 
 _TWO_CLASSES = {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}
 
@@ -19,12 +18,12 @@ def binarize(df: DataFrame, label_col: str) -> DataFrame:
 def rejoin_labels(labeled: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
     """Label flags by a second join: rows that met n labels come out n * n times."""
     side = labels.select("Input_id", label_col)
-    joined = labeled.join(broadcast_if_small(side), labeled["id"] == side["Input_id"])
+    joined = labeled.join(side, labeled["id"] == side["Input_id"])
     return binarize(joined, label_col).drop("Input_id", label_col)
 
 
 def with_repeats(labels: DataFrame) -> DataFrame:
-    """Each label row with ``weight``, the number of rows its id has.
+    """Each label row once, with ``copies`` and ``weight``: how often it is there, times the rows of its id.
 
     Training on the n rows of an id with weight n equals training on the n * n rows
     of the second join, without making them. Equal rows are counted before they are
@@ -35,15 +34,21 @@ def with_repeats(labels: DataFrame) -> DataFrame:
         F.sum("copies").alias("rows_of_id")
     )
     return groups.join(per_id, groups["Input_id"] == per_id["counted_id"]).select(
-        *labels.columns, (F.col("copies") * F.col("rows_of_id")).cast("double").alias("weight")
+        *labels.columns, "copies", (F.col("copies") * F.col("rows_of_id")).cast("double").alias("weight")
     )
 
 
+def repeated(rows: DataFrame) -> DataFrame:
+    """Rows as often as their ``copies`` say."""
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return rows.withColumn("copies", times).drop("copies")
+
+
 def training_rows(comments: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled comments with all their label columns and training weight."""
     bodies, weighted = comments.select("id", "body"), with_repeats(labels)
     on = bodies["id"] == weighted["Input_id"]
-    return bodies.join(broadcast_if_small(weighted), on).drop("Input_id")
+    return bodies.join(weighted, on).drop("Input_id")
 
 
 def training_pairs(frame: DataFrame, label: str, *carry: str) -> DataFrame:

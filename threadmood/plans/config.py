@@ -19,6 +19,8 @@ class TargetConfig:
     seed: int = 42
     # sample rows independently instead of by comment id
     bernoulli: bool = False
+    # each report as one file, written by one task; else several files in key order
+    single_file: bool = True
 
 
 # fixed values: label columns, folds, fractions and paths of the three targets
@@ -65,5 +67,5 @@ DJT = TargetConfig(
 )
 TARGETS = {t.name: t for t in (DEM, GOP, DJT)}
 
-# shared by all targets
+# fixed value, shared by all targets
 VECTORIZER_PATH = "cvModel"

@@ -48,13 +48,27 @@ def load_inputs(spark: SparkSession, comments: str, stories: str, label_csv: str
     )
 
 
+LABELLED, TRAINING, SAMPLED, SCORED, REPORTS = (
+    "labelled.parquet",
+    "training.parquet",
+    "sampled.parquet",
+    "scored.parquet",
+    "reports.parquet",
+)
+
+
+def labelled_extract(inputs: Inputs, out_dir: str) -> DataFrame:
+    """Tokens, labels and weights of the labelled comments, stored: one scan of the bodies for fit and training."""
+    rows = features.with_tokens(labels.training_rows(inputs.comments, inputs.labels))
+    return writers.materialize(rows.drop("body"), posixpath.join(out_dir, LABELLED))
+
+
 def vectorizer(inputs: Inputs, out_dir: str) -> CountVectorizerModel:
     """The shared vectorizer, fitted on the labelled comments unless saved before."""
     path = posixpath.join(out_dir, VECTORIZER_PATH)
 
     def fit() -> dict:
-        labeled = joins.labeled_comments(inputs.comments.select("id", "body"), inputs.labels)
-        return {path: features.fit_vectorizer(features.with_tokens(labeled))}
+        return {path: features.fit_vectorizer(labels.repeated(labelled_extract(inputs, out_dir)))}
 
     writers.fit_unless_saved(inputs.spark, {path: features.VECTORIZER_MARKER}, fit)
     return features.load_vectorizer(path)
@@ -66,11 +80,16 @@ def training_frame(inputs: Inputs, model: CountVectorizerModel, path: str) -> Da
     Every iteration of every fit is a job over these files, so they are made even and
     no smaller than a task is worth.
     """
-    rows = features.with_tokens(labels.training_rows(inputs.comments, inputs.labels))
-    frame = features.vectorize(rows, model).drop("body", "tokens")
+    rows = labelled_extract(inputs, posixpath.dirname(path))
+    frame = features.vectorize(rows, model).drop("copies", "tokens")
     return writers.materialize(frame.hint("rebalance"), path)
 
 
+def vocabulary_tie(config: TargetConfig, model: CountVectorizerModel, out_dir: str) -> tuple[str, str]:
+    """Where the models of a target say which vocabulary they were trained on, and which this one is."""
+    return posixpath.join(out_dir, config.model_dir, "vocabulary"), features.fingerprint(model)
+
+
 def trained_models(
     inputs: Inputs,
     config: TargetConfig,
@@ -94,8 +113,9 @@ def trained_models(
         )
         return {path_of[name]: fitted for name, fitted in pair.items()}
 
+    tie = vocabulary_tie(config, model, out_dir)
     writers.fit_unless_saved(
-        inputs.spark, {path: models.MODEL_MARKER for path in path_of.values()}, fit
+        inputs.spark, {path: models.MODEL_MARKER for path in path_of.values()}, fit, tie
     )
     return {name: models.load_model(path) for name, path in path_of.items()}
 
@@ -116,6 +136,17 @@ def sampled_rows(inputs: Inputs, fraction: float, path: str) -> DataFrame:
     return writers.materialize(rows, path)
 
 
+def scored_by_all(
+    rows: DataFrame, model: CountVectorizerModel, pairs: dict[str, dict[str, CrossValidatorModel]], path: str
+) -> DataFrame:
+    """The rows with ``<target>_pos`` and ``<target>_neg`` of each target, stored: one tokenisation for all."""
+    vectors = features.vectorize(features.with_tokens(rows), model)
+    for name, pair in pairs.items():
+        vectors = scoring.apply_models(vectors, pair, prefix=f"{name}_")
+    flags = [f"{name}_{polarity.name}" for name in pairs for polarity in models.POLARITIES]
+    return writers.materialize(vectors.select(*rows.columns, *flags), path)
+
+
 def scored_table(
     inputs: Inputs,
     config: TargetConfig,
@@ -127,12 +158,12 @@ def scored_table(
     """The frozen rows every report of the target reads.
 
     The sample is taken from the comments, ahead of the join to the stories: the rows
-    left out are neither tokenised nor shuffled. ``shared`` may hold the sampled rows of
-    this and other targets.
+    left out are neither tokenised nor shuffled. ``shared`` may hold the rows of this and
+    other targets, scored by all.
     """
     if shared is not None:
         rows = sampling.stable_sample(shared, config.sample_fraction)
-        scored = scoring.score_comments(rows, model, pair)
+        scored = rows.withColumns({p.name: F.col(f"{config.name}_{p.name}") for p in models.POLARITIES})
     else:
         rows = _sampled(inputs, config)
         scored = scoring.score(rows, inputs.stories, model, pair, keys=inputs.comments)
@@ -141,36 +172,63 @@ def scored_table(
     )
 
 
+def write_reports(scored: DataFrame, config: TargetConfig, out_dir: str) -> dict[str, str]:
+    """Report name to path. All reports come from one pass over the scored rows."""
+    spark = scored.sparkSession
+    path_of = {name: posixpath.join(out_dir, path) for name, path in config.reports.items()}
+    missing = [name for name, path in path_of.items() if not paths.is_finished(spark, path)]
+    if missing:
+        keyed = tuple(name for name in missing if schemas.REPORT_KEYS[name])
+        staged = posixpath.join(out_dir, config.model_dir, REPORTS)
+        whole = reports.keyed_reports(scored, keyed, "overall" in missing) if keyed else None
+        stored = None if whole is None else writers.materialize(whole, staged)
+        for name in missing:
+            if stored is None:
+                report = reports.report(scored, name, ordered=False)
+            else:
+                key = schemas.REPORT_KEYS[name]
+                own = [key.name] if key else []
+                report = stored.where(F.col("report") == name).select(*own, "percent_pos", "percent_neg")
+            writers.write_report(report, path_of[name], config.single_file)
+        paths.remove(spark, staged)
+    return path_of
+
+
 def run_targets(
     inputs: Inputs, out_dir: str, configs: Iterable[TargetConfig] = tuple(TARGETS.values())
 ) -> dict[str, dict[str, str]]:
-    """All stages of all targets; returns target to report name to path."""
+    """All stages of all targets; returns target to report name to path.
+
+    Intermediate tables lie at fixed places under ``out_dir``, so a run that was cut off finds
+    them; they are removed at the end.
+    """
     configs = tuple(configs)
+    spark = inputs.spark
     model = vectorizer(inputs, out_dir)
-    frame_path = paths.working_path(inputs.spark, "training.parquet")
+    frame_path = posixpath.join(out_dir, TRAINING)
     pairs = {c.name: trained_models(inputs, c, model, out_dir, frame_path) for c in configs}
     sharing = [
         c
         for c in configs
-        if not c.bernoulli
-        and not paths.is_finished(inputs.spark, posixpath.join(out_dir, c.scored_path))
+        if not c.bernoulli and not paths.is_finished(spark, posixpath.join(out_dir, c.scored_path))
     ]
     shared = None
+    shared_paths = []
     if len(sharing) > 1:
         largest = max(c.sample_fraction for c in sharing)
-        path = paths.working_path(inputs.spark, "sampled.parquet")
-        shared = sampled_rows(inputs, largest, path)
+        names = "-".join(sorted(c.name for c in sharing))
+        shared_paths = [posixpath.join(out_dir, f"{names}-{largest}", name) for name in (SAMPLED, SCORED)]
+        rows = sampled_rows(inputs, largest, shared_paths[0])
+        shared = scored_by_all(rows, model, {c.name: pairs[c.name] for c in sharing}, shared_paths[1])
     written = {}
     for config in configs:
         scored = scored_table(
             inputs, config, model, pairs[config.name], out_dir,
             shared if config in sharing else None,
         )
-        written[config.name] = {
-            name: posixpath.join(out_dir, path) for name, path in config.reports.items()
-        }
-        for name, path in written[config.name].items():
-            writers.write_report(reports.report(scored, name, ordered=False), path)
+        written[config.name] = write_reports(scored, config, out_dir)
+    for path in (*shared_paths, frame_path, posixpath.join(out_dir, LABELLED)):
+        paths.remove(spark, path)
     return written
 
 

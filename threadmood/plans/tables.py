@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from threadmood.plans.run import Inputs
 from threadmood.session import pin
-from threadmood.sources.sizes import spread_small_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,15 +17,16 @@ def _padded(number: str):
     return F.lpad(F.col(number).cast("string"), 6, "0")
 
 
-def comments(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def comments(spark: SparkSession, sf_dir: str, deal: int | None = None) -> DataFrame:
     """Documents as comments, timed and voted on by the event of the same number.
 
     Every tenth body gets a sarcasm mark and every tenth a quote mark, which the
-    texts themselves lack. ``spread`` is for readers that tokenise.
+    texts themselves lack. ``deal`` may name a number of partitions for readers that
+    tokenise, where the caller knows the table to come in too few splits.
     """
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    if spread:
-        documents = spread_small_scan(documents, F.col("doc_id"))
+    if deal is not None:
+        documents = documents.repartition(deal, "doc_id")
     events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     text, last_digit = F.col("text"), F.col("doc_id") % 10
     return documents.join(events, F.col("event_id") == F.col("doc_id")).select(
@@ -62,8 +62,8 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def inputs(spark: SparkSession, sf_dir: str, spread: bool = False) -> Inputs:
+def inputs(spark: SparkSession, sf_dir: str, deal: int | None = None) -> Inputs:
     pin(spark)
     return Inputs(
-        comments(spark, sf_dir, spread), stories(spark, sf_dir), labels(spark, sf_dir)
+        comments(spark, sf_dir, deal), stories(spark, sf_dir), labels(spark, sf_dir)
     )

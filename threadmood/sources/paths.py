@@ -1,16 +1,11 @@
-"""Where working tables go, and what already lies at a path."""
+"""What already lies at a path."""
 
 from __future__ import annotations
 
 import posixpath
-import tempfile
-import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
 
 def _status(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -25,32 +20,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def is_finished(spark: SparkSession, path: str) -> bool:
-    """Something lies there and it is not a write that died half-way."""
-    if not exists(spark, path):
-        return False
-    abandoned = exists(spark, posixpath.join(path, "_temporary"))
-    return not abandoned or exists(spark, posixpath.join(path, "_SUCCESS"))
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local session may fall back to a temporary folder of the machine.
-    """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
+    """Whether a write to the path was completed: it ends with its marker, whoever committed it."""
+    return exists(spark, posixpath.join(path, "_SUCCESS"))
 
 
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"threadmood-{application}-")
-
-
-def working_path(spark: SparkSession, name: str) -> str:
-    """A path nobody else writes to."""
-    run = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
-    return posixpath.join(shared_folder(spark), "threadmood", run, name)
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table of this library."""
+    file_system, hadoop_path = _status(spark, path)
+    file_system.delete(hadoop_path, True)
