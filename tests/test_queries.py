@@ -44,9 +44,9 @@ def test_query_equals_its_sql(spark, sf_dir, duck, name):
     assert rows_of(got.columns, got.collect()) == rows_of(columns, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)) or [None])
 def test_query_without_sql_gives_rows(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
+    assert name is None or QUERIES[name](spark, sf_dir).count() > 0
 
 
 def test_reloaded_models_agree(spark, sf_dir):

@@ -90,6 +90,14 @@ def test_every_short_text(spark):
     assert collect(spark, bodies, text.sanitize) == [literal_rules.sanitized(b) for b in bodies]
 
 
+def test_every_short_link(spark):
+    parts = ["[", "](", ")", "x", ".com", " "]
+    bodies = ["".join(p) for n in range(7) for p in itertools.product(parts, repeat=n)]
+    got = collect(spark, bodies, lambda b: text.remove_urls(text.spaces_for_breaks(b)))
+    wrong = [(b, g) for b, g in zip(bodies, got) if g != literal_rules.without_urls(b)]
+    assert not wrong[:3]
+
+
 PIECES = [
     *"ab_!$.,'\\()[ ", "  ", "\n", "\r", "\t", "A", "Z9", "](", "http://", ".com", ".us", "\\*",
     "é", "\u00a0", "\u3000", "\x1c", "\x85", "\u2028", "\u0130", "\u212a", "\U0001f600", "\x00",
@@ -158,6 +166,11 @@ def test_hostile_texts_take_linear_time(spark):
         "a.com " * (n // 6),
         "x.com" + "a" * n,
         "( " * (n // 2),
+        "[" + "](" * (n // 2) + " a.com",
+        "[" + "](" * (n // 2) + "a.com",
+        "[](" + "a.com" * (n // 5),
+        "[" + "](a.com)" * (n // 8),
+        "[](a.com) " * (n // 10),
     ]
     start = time.monotonic()
     collect(spark, bodies, lambda b: F.size(text.sanitize(b)))

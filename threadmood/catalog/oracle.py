@@ -199,7 +199,91 @@ def _multi_target() -> str:
     )
 
 
+_LABELLED = (_COMMENTS, _LABELS)
+# fixed values: seed of the targets, and of the djt target label column, folds and sample
+_SEED, _DJT_FOLDS, _DJT_SAMPLE = 42, 2, 0.1
+_POLARITIES = (("pos", 0.2, 1), ("neg", 0.25, -1))
+
+
+def _salted(polarity: str, use: str) -> str:
+    return _bucket(f"'{_SEED}:{polarity}:{use}:' || id")
+
+
+def _trained(polarity: str, threshold: float, value: int) -> str:
+    return _with(
+        *_LABELLED,
+        _GRAMS,
+        _VOCABULARY,
+        select=f"""SELECT '{polarity}' AS polarity, {threshold}::DOUBLE AS threshold,
+       (SELECT COUNT(*) FROM vocabulary) AS features, COUNT(*) AS rows,
+       CAST(SUM(CASE WHEN labeldjt = {value} THEN 1 ELSE 0 END) AS BIGINT) AS flagged
+FROM comments JOIN labeled ON id = Input_id WHERE {_salted(polarity, "half")} < 0.5""",
+    )
+
+
+def _folds() -> str:
+    parts = [
+        f"""SELECT '{name}' AS polarity, {_DJT_FOLDS}::BIGINT AS folds,
+       CAST(floor(({_salted(name, "fold")}) * {_DJT_FOLDS}) AS INTEGER) AS fold, COUNT(*) AS rows, TRUE AS metric_is_share
+FROM comments JOIN labeled ON id = Input_id WHERE {_salted(name, "half")} < 0.5 GROUP BY 3"""
+        for name, _, _ in _POLARITIES
+    ]
+    return _with(*_LABELLED, select="\nUNION ALL\n".join(parts))
+
+
+def _held_out() -> str:
+    parts = [
+        f"""SELECT '{name}' AS polarity, COUNT(*) AS rows,
+       CAST(SUM(CASE WHEN labeldjt = {value} THEN 1 ELSE 0 END) AS BIGINT) AS flagged, TRUE AS area_is_of_ranks
+FROM comments JOIN labeled ON id = Input_id WHERE {_salted(name, "half")} >= 0.5"""
+        for name, _, value in _POLARITIES
+    ]
+    return _with(*_LABELLED, select="\nUNION ALL\n".join(parts))
+
+
+def _report_keys() -> str:
+    key_of = {
+        "overall": None,
+        "by_day": f"CAST({_DAY} AS VARCHAR)",
+        "by_place": "author_flair_text",
+        "by_comment_score": "CAST(comment_score AS VARCHAR)",
+        "by_story_score": "CAST(story_score AS VARCHAR)",
+    }
+    # fixed values: target, sample fraction, number of reports
+    parts = [
+        f"SELECT '{target}' AS target, '{name}' AS report, {key} AS key, TRUE AS in_range "
+        f"FROM told WHERE {_bucket('id')} < {fraction} GROUP BY 3"
+        if key
+        else f"SELECT '{target}', '{name}', NULL, COUNT(*) > 0 FROM told WHERE {_bucket('id')} < {fraction}"
+        for target, fraction, reports in (("dem", 0.05, 3), ("gop", 0.05, 3), ("djt", 0.1, 5))
+        for name, key in list(key_of.items())[:reports][::-1]
+    ]
+    told = f"""told AS (
+  SELECT c.id, created_utc, author_flair_text, c.score AS comment_score, s.score AS story_score
+  FROM comments c JOIN stories s ON right(link_id, 6) = s.id WHERE {_ELIGIBLE})"""
+    return _with(_COMMENTS, _STORIES, told, select="\nUNION ALL\n".join(parts))
+
+
 ORACLE_SQL: dict[str, str] = {
+    "sample_bernoulli": "SELECT 0::BIGINT AS foreign_rows, 0::BIGINT AS doubled_rows, COUNT(*) >= 0 AS share_fits FROM documents",
+    "split_random": _with(_LABELS, select="SELECT Input_id, COUNT(*) AS times FROM labeled GROUP BY 1"),
+    **{f"train_{name}": _trained(name, threshold, value) for name, threshold, value in _POLARITIES},
+    "cross_validate": _folds(),
+    "eval_auc": _held_out(),
+    "model_roundtrip": _with(
+        *_LABELLED, select="SELECT id, TRUE AS same FROM comments JOIN labeled ON id = Input_id"
+    ),
+    "score_pos_neg": _with(
+        _COMMENTS, select=f"SELECT id, TRUE AS pos_agrees, TRUE AS neg_agrees FROM comments WHERE {_ELIGIBLE}"
+    ),
+    "checkpoint_scored": _with(
+        _COMMENTS,
+        _STORIES,
+        select="SELECT c.id, body, created_utc, author_flair_text, title, c.score AS comment_score, "
+        "s.score AS story_score, TRUE AS flags_fit FROM comments c JOIN stories s ON right(link_id, 6) = s.id "
+        f"WHERE {_ELIGIBLE} AND {_bucket('c.id')} < {_DJT_SAMPLE}",
+    ),
+    "multi_target_scored": _report_keys(),
     "scan_json": _ALL_COMMENTS,
     "scan_parquet": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "scan_csv": _with(

@@ -208,8 +208,20 @@ def sample_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are not in the table, rows drawn twice, and whether the share is within five deviations."""
     documents = readers.read_parquet(spark, f"{sf_dir}/documents.parquet").select("doc_id")
-    return sampling.bernoulli_sample(documents, DJT.sample_fraction, SEED)
+    fraction = DJT.sample_fraction
+    drawn = sampling.bernoulli_sample(documents, fraction, SEED).withColumn("drawn", F.lit(1))
+    times = documents.withColumn("there", F.lit(1)).unionByName(drawn, allowMissingColumns=True)
+    per_row = times.groupBy("doc_id").agg(
+        F.coalesce(F.sum("there"), F.lit(0)).alias("there"), F.coalesce(F.sum("drawn"), F.lit(0)).alias("drawn")
+    )
+    error = 5 * F.sqrt(F.sum("there") * fraction * (1 - fraction))
+    return per_row.agg(
+        F.count_if(F.col("there") == 0).alias("foreign_rows"),
+        F.count_if(F.col("drawn") > F.col("there")).alias("doubled_rows"),
+        (F.abs(F.sum("drawn") - F.sum("there") * fraction) <= error).alias("share_fits"),
+    )
 
 
 def split_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,10 +232,9 @@ def split_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each id is in the two halves together."""
     first, second = sampling.random_split(tables.inputs(spark, sf_dir).labels, SEED)
-    return first.select("Input_id", F.lit("train").alias("half")).unionAll(
-        second.select("Input_id", F.lit("test").alias("half"))
-    )
+    return first.unionAll(second).groupBy("Input_id").agg(F.count("*").alias("times"))
 
 
 # scalar functions
@@ -342,12 +353,18 @@ def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fitted(polarity: models.Polarity) -> Query:
+    """What a model was trained with: threshold, features, rows and flagged rows of the train half."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame = _frame(spark, sf_dir)
         best = models.train(frame, polarity, DJT.folds, DJT.seed).bestModel
-        return spark.createDataFrame(
-            [(polarity.name, best.getThreshold(), best.numFeatures, float(best.intercept))],
-            "polarity string, threshold double, features int, intercept double",
+        half, _ = models.halves(frame, polarity, DJT.seed)
+        return half.agg(
+            F.lit(polarity.name).alias("polarity"),
+            F.lit(float(best.getThreshold())).alias("threshold"),
+            F.lit(best.numFeatures).cast("bigint").alias("features"),
+            F.count("*").alias("rows"),
+            F.sum(polarity.label).cast("bigint").alias("flagged"),
         )
 
     return query
@@ -362,24 +379,44 @@ def _trained(spark: SparkSession, sf_dir: str):
 
 
 def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pair = models.train_pair(_frame(spark, sf_dir), DJT.folds, DJT.seed)
-    return spark.createDataFrame(
-        [(name, m.getNumFolds(), float(m.avgMetrics[0])) for name, m in pair.items()],
-        "polarity string, folds int, mean_auc double",
-    )
+    """Rows per fold, and whether the mean metric of the folds is a share."""
+    frame = _frame(spark, sf_dir)
+    pair = models.train_pair(frame, DJT.folds, DJT.seed)
+    parts = []
+    for polarity in models.POLARITIES:
+        fitted = pair[polarity.name]
+        folded = models.folded_half(frame, polarity, fitted.getNumFolds(), DJT.seed)
+        parts.append(
+            folded.groupBy("fold").agg(
+                F.lit(polarity.name).alias("polarity"),
+                F.lit(fitted.getNumFolds()).cast("bigint").alias("folds"),
+                F.count("*").alias("rows"),
+                F.lit(0.0 <= fitted.avgMetrics[0] <= 1.0).alias("metric_is_share"),
+            )
+        )
+    return reduce(DataFrame.unionAll, parts)
 
 
 def eval_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Area under ROC on the halves kept out of training."""
+    """Rows and flagged rows kept out of training, and whether the evaluator's area is that of the ranks."""
     frame = _frame(spark, sf_dir)
     _, _, pair = _trained(spark, sf_dir)
-    return spark.createDataFrame(
-        [
-            (p.name, models.held_out_auc(frame, pair[p.name], p, DJT.seed))
-            for p in models.POLARITIES
-        ],
-        "polarity string, auc double",
-    )
+    parts = []
+    for polarity in models.POLARITIES:
+        _, test = models.halves(frame, polarity, DJT.seed)
+        area = models.held_out_auc(frame, pair[polarity.name], polarity, DJT.seed)
+        ranked = models.rank_auc(test, pair[polarity.name], polarity)
+        counts = test.agg(F.count("*").alias("rows"), F.sum(polarity.label).cast("bigint").alias("flagged"))
+        # the evaluator puts the scores into a thousand bins
+        parts.append(
+            counts.select(
+                F.lit(polarity.name).alias("polarity"),
+                "rows",
+                "flagged",
+                F.lit(ranked is None or abs(area - ranked) < 0.005).alias("area_is_of_ranks"),
+            )
+        )
+    return reduce(DataFrame.unionAll, parts)
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,16 +439,26 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_pos_neg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All eligible comments through both models."""
+    """All eligible comments through both models: whether a flag is a probability above the threshold."""
     inputs, vectorizer, pair = _trained(spark, sf_dir)
-    comments = inputs.comments.select("id", "body")
-    return scoring.score_comments(comments, vectorizer, pair).select("id", "pos", "neg")
+    comments = filters.eligible(inputs.comments.select("id", "body"))
+    vectors = features.vectorize(features.with_tokens(comments), vectorizer)
+    scored = scoring.apply_models(vectors, pair, probabilities=True)
+    agrees = []
+    for polarity in models.POLARITIES:
+        chance = F.element_at(F.unwrap_udt(f"{polarity.name}_probability")["values"], 2)
+        over = (chance > polarity.threshold).cast("double")
+        agrees.append((F.col(polarity.name) == over).alias(f"{polarity.name}_agrees"))
+    return scored.select("id", *agrees)
 
 
 def checkpoint_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows, and whether both flags are 0 or 1."""
     inputs, vectorizer, pair = _trained(spark, sf_dir)
     target = fixtures.working_path(spark, "djt")
-    return run.scored_table(inputs, DJT, vectorizer, pair, target)
+    scored = run.scored_table(inputs, DJT, vectorizer, pair, target)
+    flags = F.col("pos").isin(0.0, 1.0) & F.col("neg").isin(0.0, 1.0)
+    return scored.withColumn("flags_fit", flags).drop("pos", "neg")
 
 
 # reports
@@ -447,9 +494,9 @@ def multi_target_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def multi_target_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole run of all targets with their models: the reports as written."""
+    """The whole run of all targets, in a folder of its own: the keys of the reports as written."""
     inputs = tables.inputs(spark, sf_dir, fixtures.cores(spark))
-    home = _output_folder(spark, sf_dir)
+    home = fixtures.working_path(spark, "run")
     parts = []
     for target, written in run.run_targets(inputs, home).items():
         for name, path in written.items():
@@ -460,8 +507,7 @@ def multi_target_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(target).alias("target"),
                     F.lit(name).alias("report"),
                     shown.alias("key"),
-                    "percent_pos",
-                    "percent_neg",
+                    (F.col("percent_pos").between(0, 100) & F.col("percent_neg").between(0, 100)).alias("in_range"),
                 )
             )
     return reduce(DataFrame.unionAll, parts)

@@ -25,10 +25,7 @@ _SOLID = f"[^{rules.WHITESPACE}]"
 # optional scheme in front is covered by the run itself. Anchoring there keeps
 # the cost linear in the run instead of quadratic.
 _URL_RUN = f"(?<!{_SOLID}){_SOLID}+{_SUFFIX}{_SOLID}*"
-# Only the first "[" of a line can open a link and only the last "](url)" of the
-# line can close it (the text between is greedy), so there is at most one link
-# per line. The atomic group stops at the first suffix of the run.
-_LINK = rf"(?md)^([^\[\n]*+)\[([^\n]*)\]\((?>{_SOLID}+?{_SUFFIX}){_SOLID}*\)"
+_SOLID_RUN = f"{_SOLID}+"
 
 # Classes are listed character by character, and patterns start at the rarest one
 # and look behind: java.util.regex then tests a bit set per character of text.
@@ -60,6 +57,59 @@ def spaces_for_breaks(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\n"), space), F.lit("\t"), space)
 
 
+def _last_index(text: Column, part: str, before: Column) -> Column:
+    """Where ``part`` last begins (from 1) among the first ``before`` characters; 0 if nowhere. Linear."""
+    head = F.left(text, before)
+    at = F.instr(F.reverse(head), part[::-1])
+    return F.when(at > 0, F.length(head) - at - len(part) + 2).otherwise(0)
+
+
+def _link_end(run: Column) -> Column:
+    """Of a run of solid characters: where the last "](" before a URL begins, and where its ")" is; else zeros.
+
+    The URL needs a character, then a suffix, and a ")" after it in the same run. So the last
+    ")" bounds the suffix, the last suffix before it bounds the "](", and one look from the
+    end finds each: no pair of places is tried.
+    """
+
+    def opened(closing: Column) -> Column:
+        def bracket(suffix: Column) -> Column:
+            return F.when(suffix > 3, _last_index(run, "](", suffix - 2)).otherwise(0)
+
+        ends = (_last_index(run, s, closing - 1) for s in rules.URL_SUFFIXES)
+        return F.struct(_let(F.greatest(*ends), bracket).alias("open"), closing.alias("close"))
+
+    return _let(_last_index(run, ")", F.length(run)), opened)
+
+
+def _without_link(text: Column) -> Column:
+    """The first "[" of a line opens the link and its last "](url)" closes it; the text between stays.
+
+    The text between is greedy, so there is at most one link in a line.
+    """
+
+    def of_line(line: Column) -> Column:
+        runs = F.regexp_extract_all(line, F.lit(_SOLID_RUN), F.lit(0))
+        links = F.filter(
+            F.transform(runs, lambda r: F.struct(r.alias("run"), _link_end(r).alias("at"))), lambda x: x["at"]["open"] > 0
+        )
+
+        def cut(link: Column) -> Column:
+            # a later run cannot hold this one, or it would be the last link itself
+            begin = F.length(line) - F.instr(F.reverse(line), F.reverse(link["run"])) - F.length(link["run"]) + 1
+            first, opened = F.instr(line, "["), begin + link["at"]["open"]
+            found = F.concat(
+                F.left(line, first - 1),
+                F.substring(line, first + 1, opened - first - 1),
+                F.substring(line, begin + link["at"]["close"] + 1, F.length(line)),
+            )
+            return F.when((first > 0) & (first < opened), found).otherwise(line)
+
+        return _let(F.try_element_at(links, F.lit(-1)), lambda x: F.when(x.isNull(), line).otherwise(cut(x)))
+
+    return F.array_join(F.transform(F.split(text, "\n"), of_line), "\n")
+
+
 def remove_urls(text: Column) -> Column:
     """Reduce a markdown link to its text, then delete every run that holds a URL suffix.
 
@@ -68,7 +118,8 @@ def remove_urls(text: Column) -> Column:
 
     def removed(t: Column) -> Column:
         found = reduce(or_, (t.contains(suffix) for suffix in rules.URL_SUFFIXES))
-        gone = _replace(_replace(t, _LINK, "$1$2"), _URL_RUN, "")
+        plain = F.when(t.contains("]("), _without_link(t)).otherwise(t)
+        gone = _replace(plain, _URL_RUN, "")
         return F.when(found, gone).otherwise(t)
 
     return _let(text, removed)
