@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import literal_rules
-from threadmood.functions import python_udf, text
+from threadmood.functions import sql, text
 
 # body -> words, unigrams, bigrams, trigrams; each space-joined
 GOLDEN = [
@@ -148,12 +148,14 @@ def test_links_on_lines_of_their_own(spark):
     ]
 
 
-def test_python_udf_gives_the_same_tokens(spark, mixed):
-    python_udf.register_sql_functions(spark)
+def test_sql_function_gives_the_same_tokens(spark, mixed):
+    sql.register_sql_functions(spark)
     spark.createDataFrame(list(enumerate(mixed)), "i int, body string").createOrReplaceTempView("m")
     rows = spark.sql("SELECT i, sanitize(body) AS t FROM m ORDER BY i").collect()
     assert [r.t for r in rows] == [literal_rules.sanitized(b) for b in mixed]
     assert spark.sql("SELECT sanitize(NULL) AS t").first().t == []
+    plan = spark.sql("SELECT sanitize(body) FROM m")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_hostile_texts_take_linear_time(spark):

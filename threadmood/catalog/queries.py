@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from threadmood import schemas
 from threadmood.catalog import fixtures
-from threadmood.functions import python_udf, scalar, text
+from threadmood.functions import scalar, sql, text
 from threadmood.operators import (
     features,
     filters,
@@ -135,7 +135,7 @@ def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = tables.inputs(spark, sf_dir, fixtures.cores(spark))
     readers.register_views(inputs.comments, inputs.stories, inputs.labels)
-    python_udf.register_sql_functions(spark)
+    sql.register_sql_functions(spark)
     tokens = spark.sql("SELECT id, sanitize(body) AS tokens FROM commentsTable")
     return tokens.select("id", *_tokens_shown(F.col("tokens")))
 
