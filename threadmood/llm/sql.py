@@ -80,4 +80,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM v JOIN em USING (votes) WHERE round = {_QUALITY_ROUNDS}
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1}
+# Windows are not built here: their lengths are summed from the turns that go into each.
+OP10 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), counted AS (
+  SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 2 AS tokens,
+         length('### ' || role || chr(58) || chr(10) || text || chr(10) || '</turn>' || chr(10))
+         + length(role || text) - length(translate(role || text, '\<#', ''))
+         + length(role) - length(replace(role, chr(58), '')) AS chars
+  FROM turns
+), summed AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM counted
+), systems AS (
+  SELECT conv_id, min(before) AS system_before, arg_min(tokens, before) AS system_tokens, arg_min(chars, before) AS system_chars
+  FROM summed WHERE role = 'system' GROUP BY conv_id
+), roomy AS (
+  SELECT summed.*, system_before, system_chars, greatest(128, 512 - 128 - coalesce(system_tokens, 0)) AS room
+  FROM summed LEFT JOIN systems ON summed.conv_id IS NOT DISTINCT FROM systems.conv_id
+), placed AS (
+  SELECT *, before // room AS span FROM roomy
+), cast_turns AS (
+  SELECT *, span AS win FROM placed
+  UNION ALL SELECT *, span + 1 FROM placed WHERE before + least(128, room) >= (span + 1) * room
+), windows AS (
+  SELECT conv_id, win, sum(chars) + max(CASE WHEN system_before < first_before THEN system_chars ELSE 0 END) AS chars
+  FROM (SELECT *, min(before) OVER (PARTITION BY conv_id, win) AS first_before FROM cast_turns)
+  GROUP BY conv_id, win HAVING bool_or(span = win)
+), formatted AS (
+  SELECT conv_id, sum(chars) AS formatted_chars FROM windows GROUP BY conv_id
+)
+SELECT t.conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY before)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY before) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       any_value(formatted_chars)::BIGINT AS formatted_chars
+FROM summed AS t JOIN formatted ON t.conv_id IS NOT DISTINCT FROM formatted.conv_id
+GROUP BY t.conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op10_chat_formatting": OP10}
