@@ -17,7 +17,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _OF_BYTE = np.random.default_rng(20).integers(0, (1 << 64) - 1, 256, "uint64")
 
 
-def blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def blocks(batch: pa.RecordBatch, column: int, size: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batch with the bytes of their texts and the texts' bounds; NULL is empty."""
     texts = pc.fill_null(batch.column(column), "")
     lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False)
@@ -25,7 +25,7 @@ def blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch,
     start = 0
     while start < len(lengths):
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
         data = np.frombuffer(b"".join(pc.cast(texts[start:stop], pa.binary()).to_pylist()), "uint8")
         yield batch.slice(start, stop - start), data, np.append(0, ends[start:stop] - before)
         start = stop
@@ -136,6 +136,8 @@ class UnitIds:
 
     #: Units remembered by one task; beyond it the memory starts anew, with the same results.
     MEMORY = 300_000
+    #: Units that are encoded as one text.
+    JOINED = 20_000
 
     def __init__(self, sizes: np.ndarray):
         self.sizes = sizes
@@ -153,14 +155,16 @@ class UnitIds:
         joins = (data[starts] == 32) & ~_ASCII_SPACE[data[ends - 1]] & (data[ends - 1] < 128)
         order = np.argsort(~joins, kind="stable")
         hashes, starts, sizes, n = hashes[order], starts[order], (ends - starts)[order], int(joins.sum())
-        texts = [gathered(data, starts[:n], sizes[:n]).tobytes().decode()] if n else []
+        cuts = [*range(0, n, self.JOINED), n] if n else [0]
+        texts = [gathered(data, starts[a:b], sizes[a:b]).tobytes().decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        joined = len(texts)
         texts += [data[a : a + b].tobytes().decode() for a, b in zip(starts[n:], sizes[n:], strict=True)]
         ids, counts = self.encode(texts)
         if n:
-            first = ids[: counts[0]]
+            first = ids[: counts[:joined].sum()]
             ends_in = np.searchsorted(np.cumsum(self.sizes[first]), np.cumsum(sizes[:n]), "right")
-            ends_in[-1] = counts[0]
-            counts = np.concatenate([np.diff(ends_in, prepend=0), counts[1:]])
+            ends_in[-1] = len(first)
+            counts = np.concatenate([np.diff(ends_in, prepend=0), counts[joined:]])
         begin = len(self.ids) + np.cumsum(counts) - counts
         known, start, count = np.append(self.known, hashes), np.append(self.start, begin), np.append(self.count, counts)
         order = np.argsort(known)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from threadmood.llm.blocks import UnitIds, blocks
 CAPACITY = 1024
 #: The id that ends every document.
 END = 0
+#: Bytes of text that a task encodes at a time (one text may be longer).
+BLOCK_BYTES = 1_500_000
 
 _PIECE = [
     ("start", T.LongType()),
@@ -30,6 +33,7 @@ class TokenizerIds(UnitIds):
     """Ids of texts by a tokenizer file, whose pattern cuts ahead of a space as the units do."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one thread
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -41,9 +45,11 @@ class TokenizerIds(UnitIds):
         super().__init__(sizes)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lists = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.array([len(ids) for ids in lists], "int64")
-        return np.concatenate([np.array(ids, "int32") for ids in lists]), counts
+        lists = []
+        for i in range(0, len(texts), 8):  # what the library holds per token is many times the id
+            encoded = self.tokenizer.encode_batch_fast(texts[i : i + 8], add_special_tokens=False)
+            lists += [np.array(x.ids, "int32") for x in encoded]
+        return np.concatenate(lists), np.array([len(ids) for ids in lists], "int64")
 
 
 def cut(tokens: int, capacity: int = CAPACITY) -> list[int]:
@@ -124,7 +130,7 @@ def pack(
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for own, data, bounds in blocks(batch, 1):
+            for own, data, bounds in blocks(batch, 1, BLOCK_BYTES):
                 ids, starts = ids_of(data, bounds)
                 ids = np.insert(ids, starts[1:], END).astype("<u4")
                 starts = starts + np.arange(len(starts))
