@@ -71,12 +71,15 @@ class Names:
     def __init__(self, hashes: list[np.ndarray], weights: list[np.ndarray], parts: int, width: int):
         whole = np.concatenate(hashes) if hashes else np.zeros(0, "uint64")
         weight = np.concatenate(weights) if weights else np.zeros(0, "int64")
-        part = whole % np.uint64(parts)
-        # The part is known where a name is counted, so ``width`` bytes of the rest tell names apart.
-        name = whole if width == 8 else whole >> np.uint64(64 - 8 * width)
-        order = np.lexsort((name, part))
-        part, name = part[order], name[order]
-        new = np.append(True, (part[1:] != part[:-1]) | (name[1:] != name[:-1])) if len(whole) else np.zeros(0, bool)
+        # The part is the upper half, scaled, so names in order are in order of parts too. It is known
+        # where a name is counted, so four bytes of the lower half may do to tell names apart.
+        part = (whole >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        name = whole if width == 8 else whole & np.uint64(0xFFFFFFFF)
+        key = whole if width == 8 else part << np.uint64(32) | name
+        order = np.argsort(key)
+        part, name, key = part[order], name[order], key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
         self.which = np.empty(len(whole), "int64")
         self.which[order] = np.cumsum(new) - 1
         self.part, self.name = part[new].astype("int64"), name[new]
@@ -128,10 +131,9 @@ def passage_names(texts: Texts, tuples: np.ndarray, parts: int) -> tuple[Names,
         at = _samples(data, bounds)
         at, done = at[tuples[done : done + len(at)]], done + len(at)
         text = np.searchsorted(bounds, at, "right") - 1
-        marks = np.zeros(len(data) + 1, "int32")
-        np.add.at(marks, np.maximum(at - PERIOD + 1, bounds[text]), 1)
-        np.add.at(marks, at + 1, -1)
-        begin = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+        opens = np.bincount(np.maximum(at - PERIOD + 1, bounds[text]), minlength=len(data) + 1)
+        closes = np.bincount(at + 1, minlength=len(data) + 1)
+        begin = np.flatnonzero(np.cumsum((opens - closes)[:-1]) > 0)
         text = np.searchsorted(bounds, begin, "right") - 1
         fits = begin + PASSAGE <= bounds[text + 1]
         begin, text = begin[fits], text[fits]
@@ -148,7 +150,7 @@ def removed_spans(texts: Texts, places: list[np.ndarray], repeated: np.ndarray)
         own, done = begin[repeated[done : done + len(begin)]], done + len(begin)
         marks = np.zeros(len(data) + 1, "int32")
         marks[own] += 1
-        np.add.at(marks, own + PASSAGE, -1)
+        marks[own + PASSAGE] -= 1
         gone = np.cumsum(marks[:-1]) > 0
         opens, closes = gone.copy(), gone.copy()
         opens[1:] &= ~gone[:-1]
