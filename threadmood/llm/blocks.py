@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,14 @@ def blocks(batch: pa.RecordBatch, column: int, size: int = BLOCK_BYTES) -> Itera
         data = np.frombuffer(b"".join(pc.cast(texts[start:stop], pa.binary()).to_pylist()), "uint8")
         yield batch.slice(start, stop - start), data, np.append(0, ends[start:stop] - before)
         start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory back to the system: workers stay for later stages, and so would their heaps."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:

@@ -179,18 +179,20 @@ def judged(
 
     ``base_failed``: under 10 words, or over 20 % of the words in repeated windows of five.
     ``kept``: not base_failed and a posterior quality of at least ``threshold``. The texts are
-    read once; what is measured is stored in the shared folder. Only the counts of the ways to
+    read once, and what is measured is stored in the shared folder; with whole rows they are
+    read once more instead of being moved or stored. Only the counts of the ways to
     vote are gathered (at most 3 ** 8 rows, a bound of the rules and not of the data, so they
     may be broadcast). NULL and empty texts have no words and fail; repeated rows and NULL ids
     are judged each; other columns are ignored; an empty table gives an empty result.
     """
     votes = rules()
-    own = measured(df, id_col, text_col, whole)
-    own = own.withColumn("votes", F.array(*(vote.cast("int") for vote in votes.values())))
-    own = stored(own, "quality")
+    cast = F.array(*(vote.cast("int") for vote in votes.values()))
+    own = stored(measured(df, id_col, text_col).withColumn("votes", cast), "quality")
     words, repeated = F.col("n_words"), F.col("n_repeat_words")
     failed = (words < 10) | (repeated * 100 > words * 20)
     learned = posteriors(own, len(votes), rounds)
+    if whole:
+        own = measured(df, id_col, text_col, True).withColumn("votes", cast)
     return (
         own.join(F.broadcast(learned), "votes", "left")
         .withColumn("base_failed", failed)
