@@ -15,6 +15,9 @@ from threadmood.llm import near_copies, packing, passages, quality
 from threadmood.llm.queries import TOKENIZER_FILE
 from threadmood.llm.shared import stored
 
+#: Groups that rows of one id and text are dealt over before one of them is chosen.
+SPREAD = 32
+
 
 def quality_kept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose rules give a posterior quality of one half or more and that pass the base rules.
@@ -25,12 +28,29 @@ def quality_kept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more over five-word shingles, the one with the smallest id.
+    """Of documents linked by a similarity of 0.8 or more over five-word shingles, one row: that with the smallest id.
 
-    Documents without words are linked with nothing and stay. Repeated rows of one id stay together.
+    Documents without words are linked with nothing and stay. What is linked are rows, told apart
+    by 64 bits of id and text: an id on two texts is two documents, each judged by its own text, and
+    of rows with one id and one text any one stays.
     """
-    kept = near_copies.near_copies(docs, words=5).where("kept").select("doc_id").distinct().hint("shuffle_hash")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    row = F.xxhash64("doc_id", "text").alias("row_")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    worded = docs.where(has_words)
+    found = near_copies.near_copies(worded.select(row, "text"), words=5, id_col="row_").select("row_", "component_id").distinct()
+    rows = worded.select(row, "doc_id").groupBy("row_", "doc_id").agg(F.count("*").alias("n"))
+    smallest = F.min(F.struct("doc_id", "row_", "n")).alias("own")
+    kept = stored(rows.join(found, "row_").groupBy("component_id").agg(smallest).select("own.row_", "own.n"), "one-of-each")
+    numbered = docs.where(has_words).withColumn("row_", row)
+    out = numbered.join(kept.where("n = 1").hint("shuffle_hash"), "row_", "left_semi")
+    often = kept.where("n > 1")
+    if not often.isEmpty():
+        # Rows that are there often are dealt over several groups, and thinned out in each before they meet.
+        spread = often.select("row_", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("deal_"))
+        dealt = numbered.withColumn("deal_", (F.monotonically_increasing_id() % SPREAD).cast("int"))
+        met = dealt.join(spread.hint("shuffle_hash"), ["row_", "deal_"], "left_semi").drop("deal_")
+        out = out.unionByName(met.dropDuplicates(["row_"]))
+    return out.select(*docs.columns).unionByName(docs.where(~has_words))
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,26 @@ def test_run_is_the_stages_in_turn(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert 0 < found.select("doc_id").distinct().count() < docs.count()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near copies", "repeated passages", "packing"]
+
+
+LONG_TEXT = " ".join(f"sentence {i} of a clean document that says one thing after another" for i in range(30))
+OTHER_TEXT = " ".join(f"line {i} tells of rivers and of boats that carry {i + 7} bales" for i in range(30))
+
+
+def near_stage(spark, rows, folder):
+    docs = spark.createDataFrame([(*row, "xx", "odd", 0) for row in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(4).write.parquet(f"{folder}/in")
+    corpus_pipeline.one_of_each(spark, spark.read.parquet(f"{folder}/in"), "").write.parquet(f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out")
+
+
+def test_equal_rows_leave_one_and_its_text(spark, tmp_path):
+    kept = near_stage(spark, [(1, LONG_TEXT)] * 300 + [(2, LONG_TEXT + " end"), (3, OTHER_TEXT), (4, OTHER_TEXT)], tmp_path)
+    assert sorted(rows_of(kept)) == [(1, LONG_TEXT), (3, OTHER_TEXT)]
+    assert sorted(rows_of(corpus_pipeline.without_passages(spark, kept, ""))) == [(1, LONG_TEXT), (3, OTHER_TEXT)]
+
+
+def test_an_id_on_two_texts_is_two_documents(spark, tmp_path):
+    third = "a third text of which there is but one row " * 2
+    kept = near_stage(spark, [(1, LONG_TEXT), (2, LONG_TEXT), (2, OTHER_TEXT), (5, third), (5, OTHER_TEXT), (6, " "), (6, " ")], tmp_path)
+    assert sorted(rows_of(kept)) == [(1, LONG_TEXT), (2, OTHER_TEXT), (5, third), (6, " "), (6, " ")]
