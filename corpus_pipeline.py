@@ -32,14 +32,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without words are linked with nothing and stay. What is linked are rows, told apart
     by 64 bits of id and text: an id on two texts is two documents, each judged by its own text, and
-    of rows with one id and one text any one stays.
+    of rows with one id and one text any one stays. A row with a NULL id is a document like others
+    and stays unless it is a copy; of its copies those with an id are kept before it.
     """
     row = F.xxhash64("doc_id", "text").alias("row_")
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     worded = docs.where(has_words)
     found = near_copies.near_copies(worded.select(row, "text"), words=5, id_col="row_").select("row_", "component_id").distinct()
     rows = worded.select(row, "doc_id").groupBy("row_", "doc_id").agg(F.count("*").alias("n"))
-    smallest = F.min(F.struct("doc_id", "row_", "n")).alias("own")
+    smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_", "n")).alias("own")
     kept = stored(rows.join(found, "row_").groupBy("component_id").agg(smallest).select("own.row_", "own.n"), "one-of-each")
     numbered = docs.where(has_words).withColumn("row_", row)
     out = numbered.join(kept.where("n = 1").hint("shuffle_hash"), "row_", "left_semi")

@@ -98,3 +98,13 @@ def test_an_id_on_two_texts_is_two_documents(spark, tmp_path):
     third = "a third text of which there is but one row " * 2
     kept = near_stage(spark, [(1, LONG_TEXT), (2, LONG_TEXT), (2, OTHER_TEXT), (5, third), (5, OTHER_TEXT), (6, " "), (6, " ")], tmp_path)
     assert sorted(rows_of(kept)) == [(1, LONG_TEXT), (2, OTHER_TEXT), (5, third), (6, " "), (6, " ")]
+
+
+def test_rows_without_an_id_are_documents(spark, tmp_path):
+    third = "a third text of which there is but one row " * 2
+    rows = [(None, LONG_TEXT), (None, third), (None, third), (None, OTHER_TEXT), (7, OTHER_TEXT + " end"), (None, ""), (None, None)]
+    kept = near_stage(spark, rows, tmp_path)
+    assert Counter(rows_of(kept)) == Counter([(None, LONG_TEXT), (None, third), (7, OTHER_TEXT + " end"), (None, ""), (None, None)])
+    assert Counter(rows_of(corpus_pipeline.without_passages(spark, kept, ""))) == Counter(rows_of(kept))
+    packed = corpus_pipeline.packed(spark, kept, "").where("doc_id IS NULL AND start = 0")
+    assert packed.count() == 4
