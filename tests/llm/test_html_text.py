@@ -57,3 +57,41 @@ def test_odd_rows_and_columns(spark):
     out = [(r.page_id, r.text, r.page) for r in found.collect()]
     assert sorted(out, key=lambda r: r[0]) == [(1, "", "k"), (2, "", "k"), (3, cases.LONG, "k"), (3, cases.LONG, "k")]
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+LINES = [f"Line {i} of the story tells of a river, of boats and of the people who crossed it that year." for i in range(3)]
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "<p class='notice'>An ad.<p>{0}<p>{1}<p>{2}",
+        "<p class='notice'>An ad.<div>{0}</div><p>{1}<hr><p>{2}",
+        "<ul><li class='ad'>An ad.<li>{0}<li>{1}</ul><p>{2}",
+        "<ul><li class='ad'><p>An ad.<li><p>{0}<p>{1}</ul><p>{2}",
+        "<dl><dt class='ad'>An ad.<dd>{0}<dt>{1}<dd>{2}</dl>",
+        "<table><tr><td class='ad'>An ad.<td>{0}<tr><td>{1}<td>{2}</table>",
+        "<table><thead class='ad'><tr><th>An ad.<tbody><tr><td>{0}<tr><td>{1}</table><p>{2}",
+        "<p>{0}<p class='ad'><a href=x>An ad.<p>{1}<p>{2}",
+        "<p>{0}<noscript><p>An ad.</noscript><p>{1}<ul><li>{2}</ul>",
+    ],
+)
+def test_omitted_end_tags(text_of, inside):
+    page = "<html><head><title>No</title></head><body><article>" + inside.format(*LINES) + "</article></body></html>"
+    assert text_of(page) == "\n".join(LINES)
+
+
+@pytest.mark.parametrize("top", ["<body>", "<body class=x>", "", "<noscript><style>p{}</style><body>", "<script>x</script><link rel=y><meta z>"])
+def test_a_head_without_its_end(text_of, top):
+    page = f"<html><head><title>No</title><style>p{{}}</style>{top}<article><p>{LINES[0]}<p>{LINES[1]}</article>"
+    assert text_of(page) == "\n".join(LINES[:2])
+    assert text_of("<head><title>No</title>\n " + LINES[0]) == text_of(LINES[0])
+
+
+def test_links_end_with_their_block():
+    _, after = html_text.flat_blocks("<li><a href=x>one two<li>three four")
+    assert after[:3] == ("three four", 2, 0.0)
+
+
+def test_deep_pages_take_linear_time(text_of):
+    text_of("<div>" * 50_000 + LINES[0])

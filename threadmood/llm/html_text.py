@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -32,6 +33,26 @@ FRAME_WORDS = frozenset(
     "promo promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 
+#: What a start tag ends of the elements left open, and the elements beyond which it does not reach.
+_ITEMS, _CELLS = frozenset("address div p".split()), frozenset({"td", "th"})
+_BODIES, _CAPTIONS = frozenset("tbody thead tfoot".split()), frozenset({"caption", "colgroup"})
+_IN_P = frozenset("body caption dd dt head html legend li optgroup option select tbody td tfoot th thead title tr".split())
+_AROUND_P = HIDDEN | {"html", "table", "caption", "td", "th"}
+IMPLIED = {
+    **dict.fromkeys(BLOCKS - _IN_P, (frozenset({"p"}), _AROUND_P)),
+    "li": (frozenset({"li", "p"}), (BLOCKS | HIDDEN) - _ITEMS),
+    **dict.fromkeys(("dt", "dd"), (frozenset({"dt", "dd", "p"}), (BLOCKS | HIDDEN) - _ITEMS)),
+    **dict.fromkeys(_CELLS, (_CELLS, HIDDEN | {"table", "tr"})),
+    "tr": (_CELLS | _CAPTIONS | {"tr"}, HIDDEN | _BODIES | {"table"}),
+    **dict.fromkeys(_BODIES | _CAPTIONS, (_CELLS | _CAPTIONS | _BODIES | {"tr"}, HIDDEN | {"table"})),
+    "option": (frozenset({"option"}), frozenset({"select", "optgroup"})),
+    "optgroup": (frozenset({"option", "optgroup"}), frozenset({"select"})),
+    "body": (frozenset({"head"}), frozenset()),
+}
+NOTHING = (frozenset(), frozenset())
+#: Elements that may stand in a head; any other, or a text, ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
+
 #: One page's markup, in order: comment, declaration, tag, or text. A text runs to the next "<".
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?|[^<]+|<", re.S)
 _MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -56,12 +77,14 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
     """(text, words, share of words in links, depth in articles, depth in frames) of each block with text.
 
     A header inside an article is part of it. Character references are decoded, and white
-    space inside a block is one space. What a broken page leaves open ends with the page.
+    space inside a block is one space. End tags that HTML lets a page omit are taken as given
+    (IMPLIED, IN_HEAD); what a broken page leaves open besides ends with the page.
     """
     out = []
     parts: list[str] = []
     linked = 0
     open_: list[tuple[str, int, int, bool]] = []  # tag, articles and frames before it, hidden before it
+    left = Counter()  # of each tag, how many are open
     articles = frames = links = 0
     hidden = False
 
@@ -75,6 +98,15 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
             parts.clear()
         linked = 0
 
+    def reopen(i: int) -> None:
+        """As it was before the open element ``i``, which ends with all inside it."""
+        nonlocal articles, frames, links, hidden
+        if i < len(open_):
+            for name, *_ in open_[i:]:
+                left[name] -= 1
+            links, (_, articles, frames, hidden) = left["a"], open_[i]
+            del open_[i:]
+
     at, end = 0, len(page)
     while at < end:
         token = _TOKEN.match(page, at)
@@ -82,6 +114,8 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
         tag = token[2]
         if tag is None:
             text = token[0]
+            if open_ and open_[-1][0] == "head" and text.strip() and not text.startswith(("<!", "<?")):
+                reopen(len(open_) - 1)
             if not hidden and not (text.startswith(("<!", "<?"))):
                 text = html.unescape(text)
                 parts.append(text)
@@ -94,10 +128,7 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
                 if open_[i][0] == tag:
                     if tag in BLOCKS:
                         close()
-                    for name, *_ in open_[i:]:
-                        links -= name == "a"
-                    _, articles, frames, hidden = open_[i]
-                    del open_[i:]
+                    reopen(i)
                     break
             else:
                 if tag in BLOCKS and not hidden:
@@ -105,6 +136,17 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
             continue
         if tag in BLOCKS and not hidden:
             close()
+        if open_ and open_[-1][0] == "head" and tag not in IN_HEAD:
+            reopen(len(open_) - 1)
+        ended, beyond = IMPLIED.get(tag, NOTHING)
+        if any(map(left.get, ended)):
+            first = len(open_)
+            for i in range(len(open_) - 1, -1, -1):
+                if open_[i][0] in ended:
+                    first = i
+                elif open_[i][0] in beyond:
+                    break
+            reopen(first)
         if tag == "br":
             parts.append(" ")
         if tag in EMPTY or token[3].endswith("/"):
@@ -115,10 +157,9 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
                 close()
             at = stop.end() if stop else end
             continue
-        if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and open_ and open_[-1][0] == tag:
-            open_.pop()  # these close one another
         open_.append((tag, articles, frames, hidden))
-        links += tag == "a"
+        left[tag] += 1
+        links = left["a"]
         articles += tag in ARTICLE_TAGS
         if not (tag == "header" and articles) and _framed(tag, token[3]) and tag not in ("body", "html"):
             frames += 1
