@@ -95,3 +95,36 @@ def test_links_end_with_their_block():
 
 def test_deep_pages_take_linear_time(text_of):
     text_of("<div>" * 50_000 + LINES[0])
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<main class='has-sidebar'>{}</main>",
+        "<div id='page' class='no-sidebar header-fixed'><article>{}</article></div>",
+        "<div id='page' class='no-sidebar header-fixed'><div>{}</div></div>",
+        "<article class='post comments-open'>{}</article>",
+        "<article class='post format-banner has-sidebar'>{}</article>",
+        "<div class='page-header-sidebar'><article>{}</article></div>",
+        "<form id='form1'><div class='menu content'><main>{}</main></div></form>",
+        "<div class='sidebar-layout'><main class='widget'><article>{}</article></main></div>",
+    ],
+)
+def test_wrappers_that_tell_the_layout(text_of, page):
+    story = "<h1>The crossing</h1>" + "".join(f"<p>{line}</p>" for line in LINES) + "<p>So it was.</p><p>" + LINES[0] + "</p>"
+    frame = "<nav><a href=x>Menu</a></nav>"
+    inner = story + "<div class='sidebar'><p>A box inside of it with many words that are not part of the story at all.</p></div>"
+    found = text_of(f"<html><body>{frame}{page.format(inner)}<footer>All rights are with the makers of this page.</footer></body></html>")
+    assert found == "\n".join(["The crossing", *LINES, "So it was.", LINES[0]])
+
+
+def test_articles_in_frames_stay_out(text_of):
+    line = f"<p>{LINES[0]}</p>"
+    for page in (
+        f"<section id='comments'><article class='comment-body'>{line}</article></section>",
+        f"<article>{{}}</article><article class='comment'>{line}</article>",
+        f"<aside><article>{line}</article></aside>",
+        f"<div class='related-posts'><article>{line}</article></div>",
+        "<div class='sidebar'><article><h3><a href=x>Another story of that year</a></h3><p><a href=y>Read more</a></p></article></div>",
+    ):
+        assert text_of("<html><body>" + page.format("") + "</body></html>") == ""

@@ -64,4 +64,32 @@ PAGES: list[list[tuple[str, str]]] = [
         ("-", "<div class='newsletter'><p>Sign up</p></div>"),
         ("-", "<footer><p>Written by the editors of this page in the spring of last year, and updated since.</p></footer></body></html>"),
     ],
+    [
+        ("-", "<html><body class='has-sidebar'><div id='page' class='no-sidebar header-fixed'><header><p>The Mountain Post</p></header>"),
+        ("+", "<article class='post comments-open'><h1>Snow on the pass</h1>"),
+        ("+", "<p>The pass was closed at noon, when the wind had laid a metre of snow over the road and the first cars stood still.</p>"),
+        ("+", "<p>Nobody was hurt.</p>"),
+        ("+", "<p>The ploughs will start at four in the morning, and the road is to be open again before the schools are.</p></article>"),
+        ("-", "<div id='comments' class='comments-area'><article class='comment'><p>I was there in one of the cars, and I can tell you that it was colder than anyone says.</p></article></div>"),
+        ("-", "<div class='widget'><p>Like us, follow us and tell your friends about us, wherever you are in the world today.</p></div></div></body></html>"),
+    ],
+    [
+        ("-", "<html><body><div class='layout-header-sidebar'><div><a href='1'>Home</a> <a href='2'>Maps</a></div>"),
+        ("+", "<article class='post'><h1>Bread without kneading</h1>"),
+        ("+", "<p>Stir flour, water, salt and very little yeast in the evening, and leave the bowl alone until the next day.</p>"),
+        ("+", "<p>Then fold it.</p>"),
+        ("+", "<p>Bake it in a closed pot that has been in the oven for half an hour, and take the lid off for the last ten minutes.</p></article></div>"),
+        ("-", "<div class='sidebar'><article><h3><a href='3'>Ten soups for cold days</a></h3>"),
+        ("-", "<p><a href='4'>Read more</a></p></article>"),
+        ("-", "<article><h3><a href='5'>What to do with old bread</a></h3>"),
+        ("-", "<p><a href='6'>Read more</a></p></article></div></body></html>"),
+    ],
+    [
+        ("-", "<html><body><form id='page-form'><div><a href='1'>Start</a> <a href='2'>Search</a></div>"),
+        ("+", "<div class='with-sidebar'><main class='has-sidebar'><h1>The last tram</h1>"),
+        ("+", "<p>On Saturday night the last tram of line nine left the depot with more people on board than in all of last year.</p>"),
+        ("+", "<p>Some wept.</p>"),
+        ("-", "<div class='sidebar'><p>More on trams, buses and trains in our large summer issue, out now at every station.</p></div>"),
+        ("+", "<p>From Monday on there will be a bus, which takes the same way in a little more time.</p></main></div></form></body></html>"),
+    ],
 ]

@@ -32,6 +32,13 @@ FRAME_WORDS = frozenset(
     "disclaimer footer form header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup "
     "promo promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Names with such a word tell how a page is laid out (no-sidebar, comments-open), not what the element is.
+STATE_WORDS = frozenset("no not has have with without open opened closed fixed sticky enabled disabled".split())
+#: Frames that lay out whole pages too: an article inside one is weighed for itself. Inside any other it stays in the frame.
+LAYOUT_TAGS = frozenset({"form"})
+LAYOUT_WORDS = frozenset(
+    "banner footer form header masthead menu modal nav navbar navigation notice notices sidebar toolbar widget".split()
+)
 
 #: What a start tag ends of the elements left open, and the elements beyond which it does not reach.
 _ITEMS, _CELLS = frozenset("address div p".split()), frozenset({"td", "th"})
@@ -64,28 +71,41 @@ MEASURES = ("words", "links", "words_before", "links_before", "words_after", "li
 MANY = 40
 
 
-def _framed(tag: str, attributes: str) -> bool:
-    if tag in FRAME_TAGS:
-        return True
+def _frame_words(attributes: str) -> set[str]:
+    """Words of FRAME_WORDS in the class, id or role, but for those that tell a state of the page."""
     if "=" not in attributes:
-        return False
-    marks = " ".join(a or b or c for a, b, c in _MARKS.findall(attributes)).lower()
-    return not FRAME_WORDS.isdisjoint(_WORD.findall(marks))
+        return set()
+    names = " ".join(a or b or c for a, b, c in _MARKS.findall(attributes)).lower().split()
+    words = (set(_WORD.findall(name)) for name in names)
+    return {word for own in words if own.isdisjoint(STATE_WORDS) for word in own & FRAME_WORDS}
+
+
+def _frame(tag: str, attributes: str) -> tuple[int, int]:
+    """Whether the element is a frame, and whether one that an article inside does not leave."""
+    if tag in ("body", "html", "main"):
+        return 0, 0
+    words = _frame_words(attributes)
+    if tag == "article":  # a comment or a teaser, say, as an article of its own
+        words -= LAYOUT_WORDS
+    framed = tag in FRAME_TAGS or bool(words)
+    return int(framed), int(framed and (tag in FRAME_TAGS - LAYOUT_TAGS or not words <= LAYOUT_WORDS))
 
 
-def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
+def flat_blocks(page: str) -> list[tuple[str, int, float, int, float]]:
     """(text, words, share of words in links, depth in articles, depth in frames) of each block with text.
 
-    A header inside an article is part of it. Character references are decoded, and white
+    Frames count from the nearest article on; half a frame is one around that article that may be a
+    layout of the page (LAYOUT_WORDS). Frames around a ``main`` do not count inside it. A header inside an article is part of it. Character references are decoded, and white
     space inside a block is one space. End tags that HTML lets a page omit are taken as given
     (IMPLIED, IN_HEAD); what a broken page leaves open besides ends with the page.
     """
     out = []
     parts: list[str] = []
     linked = 0
-    open_: list[tuple[str, int, int, bool]] = []  # tag, articles and frames before it, hidden before it
+    open_: list[tuple] = []  # tag; articles, frames and hidden before it
     left = Counter()  # of each tag, how many are open
-    articles = frames = links = 0
+    articles = links = 0
+    frames = (0, 0, False)  # those that count, those of them that an article does not leave, any around the article
     hidden = False
 
     def close() -> None:
@@ -94,7 +114,7 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 words = text.count(" ") + 1
-                out.append((text, words, min(1.0, linked / words), articles, frames))
+                out.append((text, words, min(1.0, linked / words), articles, frames[0] or 0.5 * frames[2]))
             parts.clear()
         linked = 0
 
@@ -161,14 +181,19 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
         left[tag] += 1
         links = left["a"]
         articles += tag in ARTICLE_TAGS
-        if not (tag == "header" and articles) and _framed(tag, token[3]) and tag not in ("body", "html"):
-            frames += 1
+        if tag == "main":
+            frames = (0, 0, False)
+        elif tag == "article" and not frames[1]:
+            frames = (0, 0, frames[2] or frames[0] > 0)
+        if not (tag == "header" and articles):
+            framed, stays = _frame(tag, token[3])
+            frames = (frames[0] + framed, frames[1] + stays, frames[2])
         hidden = hidden or tag in HIDDEN
     close()
     return out
 
 
-def measures(blocks: list[tuple[str, int, float, int, int]]) -> list[tuple[float, ...]]:
+def measures(blocks: list[tuple[str, int, float, int, float]]) -> list[tuple[float, ...]]:
     """MEASURES of each block: its own words and links, its neighbours', and what it stands in."""
     flat = [(0, 0.0)] + [(min(words, MANY), links) for _, words, links, _, _ in blocks] + [(0, 0.0)]
     return [
