@@ -75,3 +75,29 @@ def test_a_very_common_vector(spark):
 
 def test_empty_table(spark):
     assert neighbours.nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_a_bucket_of_near_equal_vectors_is_compared_in_parts(spark, monkeypatch):
+    draw = random.Random(4)
+    rows = [(i, [1 + draw.random() / 1e4, *(draw.random() / 1e4 for _ in range(3))]) for i in range(2000)]
+    rows += [(i, [draw.gauss(0, 1) for _ in range(4)]) for i in range(2000, 4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    whole, compare = found(df), neighbours._compare
+
+    def bounded(queries, rows, schema):
+        if rows.num_rows > 200 or queries.num_rows > 25:
+            raise ValueError(f"{rows.num_rows} rows and {queries.num_rows} queries in one group")
+        return compare(queries, rows, schema)
+
+    monkeypatch.setattr(neighbours, "_compare", bounded)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 100)
+    monkeypatch.setattr(neighbours, "PART_QUERIES", 8, raising=False)
+    assert found(df) == whole
+    near = {i: [j for _, j in own] for i, own in brute(rows[:2000]).items()}
+    assert all([j for _, j, _ in whole[i]] == own for i, own in near.items())
+
+
+def test_many_vectors_of_one_direction(spark):
+    rows = [(i, [float(i + 1), 2.0 * (i + 1)]) for i in range(30_000)]
+    got = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
+    assert len(got) == 600 and all(len(own) == 5 for own in got.values())

@@ -21,9 +21,12 @@ TABLES = 2
 #: A table's buckets are visited until the estimated chance to have met a neighbour reaches this.
 SUCCESS = 0.82
 WIDTH = 1.0
-#: Rows meant for a bucket at most, and rows of it that one group compares, on average. More functions
-#: make more and smaller buckets, and as many more to visit.
-BUCKET_ROWS, PART_ROWS = 5000, 50_000
+#: Rows meant for a bucket at most. More functions make more and smaller buckets, and as many more to visit.
+BUCKET_ROWS = 5000
+#: Rows and queries of a bucket that one group compares, on average, and numbers in the rows' vectors; then
+#: rows and queries that are compared at a time.
+PART_ROWS, PART_QUERIES, PART_NUMBERS = 50_000, 20_000, 6_400_000
+SLICE_ROWS, SLICE_QUERIES = 10_000, 200
 LEAST_FUNCTIONS, MOST_FUNCTIONS = 3, 5
 
 
@@ -89,27 +92,40 @@ def _typical_distance(rows: DataFrame) -> float:
     return float(np.median(found)) if found else 1.0
 
 
+def _matrix(column: pa.ChunkedArray, start: int, stop: int) -> np.ndarray:
+    """Some vectors of a column, all of one length, from the column's own buffers."""
+    own = column.slice(start, stop - start).combine_chunks()
+    return own.flatten().to_numpy(zero_copy_only=False).reshape(stop - start, -1)
+
+
 def _compare(queries: pa.Table, rows: pa.Table, schema: pa.Schema) -> pa.Table:
     """Per query of the bucket the nearest rows: (query_id, vec_id, score)."""
-    out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-    if queries.num_rows and rows.num_rows:
-        vectors = np.array(rows["vector"].to_pylist())
-        ids = rows["ids"].to_pylist()
+    if not queries.num_rows or not rows.num_rows:
+        return schema.empty_table()
+    asked = queries["query_id"].to_numpy()
+    best: list[list[tuple[float, int]]] = [[] for _ in asked]
+    for low in range(0, rows.num_rows, SLICE_ROWS):
+        high = min(low + SLICE_ROWS, rows.num_rows)
+        vectors = _matrix(rows["vector"], low, high)
+        ids = rows["ids"].slice(low, high - low).combine_chunks()
+        ends = np.cumsum(ids.value_lengths().to_numpy())
+        ids = ids.flatten().to_numpy()
+        firsts = np.append(0, ends[:-1])
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
         units = vectors / lengths[:, None]
-        for query, vector in zip(queries["query_id"].to_pylist(), queries["vector"].to_pylist(), strict=True):
-            vector = np.array(vector)
-            rough = units @ vector
-            # One of the classes may be the query's own; rounding may change the order of near ties.
-            keep = min(len(ids), 2 * NEAREST + 2)
-            best = np.flatnonzero(rough >= np.partition(rough, -keep)[-keep])
-            exact = (vectors[best] * vector).sum(axis=1) / (lengths[best] * np.sqrt((vector * vector).sum()))
-            ranked = sorted((-score, i) for score, at in zip(exact.tolist(), best.tolist(), strict=True) for i in ids[at] if i != query)
-            for score, i in ranked[:NEAREST]:
-                out["query_id"].append(query)
-                out["vec_id"].append(i)
-                out["score"].append(-score)
-    return pa.Table.from_pydict(out, schema)
+        # One of the classes may be the query's own; rounding may change the order of near ties.
+        keep = min(len(ends), 2 * NEAREST + 2)
+        for begin in range(0, len(asked), SLICE_QUERIES):
+            own = _matrix(queries["vector"], begin, min(begin + SLICE_QUERIES, len(asked)))
+            for k, (vector, rough) in enumerate(zip(own, own @ units.T, strict=True), begin):
+                near = np.flatnonzero(rough >= np.partition(rough, -keep)[-keep])
+                exact = (vectors[near] * vector).sum(axis=1) / (lengths[near] * np.sqrt((vector * vector).sum()))
+                # A class' first id is its smallest, so the first six classes hold the first six ids.
+                first = np.lexsort((ids[firsts[near]], -exact))[: NEAREST + 1]
+                found = [(-exact[j], i) for j in first for i in ids[firsts[near[j]] : ends[near[j]]].tolist() if i != asked[k]]
+                best[k] = sorted(best[k] + found)[:NEAREST]
+    flat = [(query, i, -score) for query, own in zip(asked.tolist(), best, strict=True) for score, i in own]
+    return pa.Table.from_pydict(dict(zip(schema.names, zip(*flat, strict=True), strict=True)), schema) if flat else schema.empty_table()
 
 
 def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -120,7 +136,8 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
     neighbour; there all rows are compared exactly. Equal vectors are one class with its six
     smallest ids, which is all that five neighbours with ties to the smaller id can take, so a
     very common vector costs what any other does. Queries that found fewer than five go on to
-    all buckets of one table, in blocks. Vectors of another length are never neighbours.
+    all buckets of one table, in blocks. Buckets are counted, and a large one is compared in parts,
+    however the vectors lie. Vectors of another length are never neighbours.
 
     Vectors that are NULL, empty, zero or hold NULL or non-finite components take no part, nor
     do NULL ids; a repeated id counts once per different vector; other columns are ignored; an
@@ -162,25 +179,21 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
     total = index.count()
     functions = max(LEAST_FUNCTIONS, min(MOST_FUNCTIONS, math.ceil(math.log(max(total, 1) / BUCKET_ROWS, 4))))
     distance = _typical_distance(single)
-    parts = max(1, round(total / (4**functions * PART_ROWS)))
-
-    bucket_schema = "bucket string, part int, vector array<double>, ids array<long>"
 
-    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def posted(batches: Iterator[pa.RecordBatch], whole: bool = True) -> Iterator[pa.RecordBatch]:
+        """Each row's bucket of each table, with the row or alone."""
         for batch in batches:
             vectors = [np.array(v) for v in batch.column(0).to_pylist()]
-            ids = batch.column(1)
-            part = [own[0] % parts for own in ids.to_pylist()]
             for table in range(TABLES):
                 keys = []
                 for vector in vectors:
                     directions, shift = _functions(len(vector), table, functions)
                     keys += _key(len(vector), table, np.floor((_unit(vector) @ directions + shift) / WIDTH).astype(int)[None, :])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.string()), pa.array(part, pa.int32()), batch.column(0), ids], names=["bucket", "part", "vector", "ids"]
-                )
+                columns = [pa.array(keys, pa.string()), *(batch.columns if whole else [])]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "vector", "ids"][: len(columns)])
 
-    def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def visited(batches: Iterator[pa.RecordBatch], whole: bool = True) -> Iterator[pa.RecordBatch]:
+        """The buckets that each query visits, with the query or alone."""
         for batch in batches:
             for i, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 vector = np.array(own)
@@ -191,6 +204,9 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
                     cell = np.floor(place).astype(int)
                     keys += _key(len(vector), table, cell + probes(place - cell, distance))
                 n = len(keys)
+                if not whole:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string())], names=["bucket"])
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.string()), pa.array([i] * n, pa.int64()), pa.array([own] * n, pa.list_(pa.float64()))],
                     names=["bucket", "query_id", "vector"],
@@ -198,15 +214,33 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
 
     queries = valid.where(F.col("vec_id") % every == 0).mapInArrow(_only_valid, "query_id long, vector array<double>")
     queries = stored(queries.distinct(), "queries")
-    rows = index.select("vector", "ids").mapInArrow(posted, bucket_schema)
+    rows = index.select("vector", "ids").mapInArrow(posted, "bucket string, vector array<double>, ids array<long>")
+    sizes = index.select("vector").mapInArrow(lambda batches: posted(batches, False), "bucket string").groupBy("bucket")
+    sizes = stored(sizes.agg(F.count("*").alias("rows")), "bucket-sizes")
     found_schema = T.StructType(
         [T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())]
     )
     arrow = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-    def compared(asked: DataFrame, held: DataFrame) -> DataFrame:
-        asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("part", F.col("part").cast("int"))
-        left, right = asked.groupBy("bucket", "part"), held.groupBy("bucket", "part")
+    def compared(asked: DataFrame, visits: DataFrame, held: DataFrame) -> DataFrame:
+        """``visits``: the buckets of ``asked``. Rows of a large bucket lie in parts, which all its queries go to;
+        where it has many of those they are dealt out, and each deal meets all parts."""
+        numbers = F.element_at(F.split("bucket", ":"), 1).cast("int")
+        most = F.greatest(F.lit(1), F.least(F.lit(PART_ROWS), F.floor(F.lit(PART_NUMBERS) / numbers)))
+        queries_ = F.coalesce("queries", F.lit(1))  # a bucket that nobody visits is read all the same
+        parts, deals = F.ceil(F.col("rows") / most).cast("int"), F.ceil(queries_ / PART_QUERIES).cast("int")
+        layout = sizes.join(visits.groupBy("bucket").agg(F.count("*").alias("queries")), "bucket", "left")
+        layout = layout.select("bucket", parts.alias("parts"), deals.alias("deals")).where("parts > 1 OR deals > 1")
+        layout = stored(layout, "bucket-parts")
+
+        def dealt(df: DataFrame, own: str, count: str, other: str, others: str, by: str) -> DataFrame:
+            one, all_ = F.coalesce(F.col(count), F.lit(1)), F.coalesce(F.col(others), F.lit(1))
+            df = df.join(layout, "bucket", "left").withColumn(own, F.pmod(F.xxhash64(by), one).cast("int"))
+            return df.withColumn(other, F.explode(F.sequence(F.lit(0), all_ - 1))).drop("parts", "deals")
+
+        asked = dealt(asked, "deal", "deals", "part", "parts", "query_id")
+        held = dealt(held, "part", "parts", "deal", "deals", "vector")
+        left, right = asked.groupBy("bucket", "part", "deal"), held.groupBy("bucket", "part", "deal")
         found = left.cogroup(right).applyInArrow(lambda q, r: _compare(q, r, arrow), found_schema)
         best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
         return (
@@ -216,14 +250,16 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
             .where(F.col("rank") <= NEAREST)
         )
 
-    first = stored(compared(queries.mapInArrow(visited, "bucket string, query_id long, vector array<double>"), rows), "neighbours")
+    asked = queries.mapInArrow(visited, "bucket string, query_id long, vector array<double>")
+    visits = queries.mapInArrow(lambda batches: visited(batches, False), "bucket string")
+    first = stored(compared(asked, visits, rows), "neighbours")
     enough = first.groupBy("query_id").count().where(F.col("count") >= NEAREST)
     short = queries.join(enough, "query_id", "left_anti")
     own_table = rows.where(F.element_at(F.split("bucket", ":"), 2) == "0")
     dims = F.element_at(F.split("bucket", ":"), 1).cast("int")
     cells = own_table.select("bucket", dims.alias("dim")).distinct()
     rest = stored(short.join(cells, F.size("vector") == F.col("dim")).select("bucket", "query_id", "vector"), "short-queries")
-    both = first.join(short.select("query_id"), "query_id", "left_anti").unionByName(compared(rest, own_table))
+    both = first.join(short.select("query_id"), "query_id", "left_anti").unionByName(compared(rest, rest.select("bucket"), own_table))
     return both.select(
         F.col("query_id").cast(kind).alias("query_id"), "rank", F.col("vec_id").cast(kind).alias(id_col), "score"
     )
