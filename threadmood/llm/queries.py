@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmood.llm import byte_bpe, chat, html_text, language_model, near_copies, neighbours, packing, passages, quality, sharding
+from threadmood.llm import byte_bpe, chat, html_text, language_model, near_copies, neighbours, packing, passages, periodic, quality, sharding
+from threadmood.llm.shared import let
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -102,6 +103,38 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_windows(chat.format_windows(turns.unionByName(extra))))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """documents, the words of every tenth by crc32 of its id repeating from some word on."""
+    words = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("int")
+
+    def repeating(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = F.floor(1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        repeated = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p)))
+        return F.array_join(repeated, " ")
+
+    planted = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.withColumn("text", F.when(planted, let(words, repeating)).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents")))
+    more_periods = lambda run, best: run["length"] * best["period"] > best["length"] * run["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, run: F.when(more_periods(run, best), run).otherwise(best))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")),
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_copies": op2_near_copies,
@@ -113,4 +146,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_packing": op9_packing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_periodic_runs": op12_periodic_runs,
 }

@@ -123,4 +123,51 @@ FROM summed AS t JOIN formatted ON t.conv_id IS NOT DISTINCT FROM formatted.conv
 GROUP BY t.conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op10_chat_formatting": OP10}
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit, as a BIGINT; NULL for NULL."""
+    characters = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    bits = "lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END)"
+    byte = f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), {bits})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {characters}), {byte}), 4294967295::BIGINT)"
+
+
+# Pairs of equal words, each with all earlier ones, as diagonals.
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_crc32("doc_id::VARCHAR")} AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sized AS (
+  SELECT *, len(w) AS n, coalesce(h % 10 = 0 AND len(w) > 0, false) AS planted,
+         (h // 10) % greatest(len(w), 1) AS a, (h // 10) % 8 AS g FROM d
+), spread AS (
+  SELECT *, 1 + (n - a) // (3 + g) AS p, unnest(range(n)) AS i FROM sized
+), x AS (
+  SELECT r, i, n, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM spread
+), matches AS (
+  SELECT late.r, late.i, late.i - early.i AS q
+  FROM x AS late JOIN x AS early ON late.r = early.r AND late.word = early.word AND early.i < late.i AND 3 * (late.i - early.i) <= late.n
+), diagonals AS (
+  SELECT r, q, min(i) - q AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS diagonal FROM matches)
+  GROUP BY r, q, diagonal
+), runs AS (
+  SELECT r, start, length, min(q) AS period FROM diagonals WHERE length >= greatest(24, 3 * q) GROUP BY r, start, length
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY length::DOUBLE / period DESC, start, period) AS place FROM runs
+), summed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY r
+), dropped AS (
+  SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+), left_over AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM x ANTI JOIN dropped USING (r, i) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN summed USING (r) LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (r) LEFT JOIN left_over USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op10_chat_formatting": OP10, "op12_periodic_runs": OP12}
