@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmood.llm import byte_bpe, chat, html_text, language_model, near_copies, neighbours, packing, passages, periodic, quality, sharding
+from threadmood.llm import byte_bpe, chat, html_text, language_model, merkle, near_copies, neighbours, packing, passages, periodic, quality, sharding
 from threadmood.llm.shared import let
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -103,6 +103,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_windows(chat.format_windows(turns.unionByName(extra))))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    row = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.digest_of(*row, small))
+    leaves = docs.select("doc_id", "source", merkle.digest_of(*row, F.col("text")).alias("leaf"), tampered.alias("tampered"))
+    found = merkle.proofs(merkle.build(leaves, "doc_id", "source", "leaf", "tampered"))
+    return found.withColumnsRenamed({"id": "doc_id", "proof": "proof_sha256"})
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """documents, the words of every tenth by crc32 of its id repeating from some word on."""
     words = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+")
@@ -146,5 +156,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_packing": op9_packing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_periodic_runs": op12_periodic_runs,
 }

@@ -133,6 +133,63 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {characters}), {byte}), 4294967295::BIGINT)"
 
 
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+_LEAF = " || ".join(_field(name) for name in ("doc_id", "source", "lang", "n_chars"))
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """CTEs {name} (tree, level, position, total, digest), from leaves of level 0 up to every tree's root, and families of siblings."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, position, count(*) OVER (PARTITION BY tree) AS total, digest FROM {leaves}
+  UNION ALL
+  SELECT tree, any_value(level) + 1, position // 16, (any_value(total) + 15) // 16, sha256(string_agg(digest, '' ORDER BY position))
+  FROM {name} WHERE total > 1 GROUP BY tree, position // 16
+), {name}_lists AS (
+  SELECT tree, level, position // 16 AS parent, list(digest ORDER BY position) AS children FROM {name} WHERE total > 1 GROUP BY ALL
+)"""
+
+
+def _climb(name: str, trees: str, start: str) -> str:
+    """CTE {name}: rows (r, tree, position, level, folded, siblings) of start, climbing to the roots of trees."""
+    here = "CAST(position % 16 + 1 AS INTEGER)"
+    return f"""{name} AS (
+  SELECT r, tree, position, 0 AS level, folded, siblings FROM {start}
+  UNION ALL
+  SELECT r, tree, position // 16, level + 1,
+         sha256(array_to_string(children[: {here} - 1], '') || folded || array_to_string(children[{here} + 1 :], '')),
+         siblings || array_to_string(children[: {here} - 1], '') || array_to_string(children[{here} + 1 :], '')
+  FROM {name} JOIN {trees}_lists USING (tree, level) WHERE parent = position // 16
+)"""
+
+
+# Each row climbs its tree with all siblings' digests, and then the tree over the trees.
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, sha256({_LEAF} || {_field("text")}) AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN sha256({_LEAF} || {_field(_SMALL)}) END AS tampered
+  FROM documents
+), leaves AS (
+  SELECT *, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS tree, leaf AS digest,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS position FROM d
+), {_tree("low", "leaves")}, subroots AS (
+  SELECT '' AS tree, tree AS member, row_number() OVER (ORDER BY encode(tree)) - 1 AS position, digest FROM low WHERE total = 1
+), {_tree("high", "subroots")}, starts AS (
+  SELECT r, tree, position, coalesce(tampered, leaf) AS folded, '' AS siblings FROM leaves
+), {_climb("climbed", "low", "starts")}, halfway AS (
+  SELECT r, '' AS tree, s.position, folded, siblings
+  FROM (SELECT r, tree, arg_max(folded, level) AS folded, arg_max(siblings, level) AS siblings FROM climbed GROUP BY r, tree) AS c
+  JOIN subroots AS s ON s.member = c.tree
+), {_climb("risen", "high", "halfway")}, ends AS (
+  SELECT r, arg_max(folded, level) AS folded_root, arg_max(siblings, level) AS siblings FROM risen GROUP BY r
+)
+SELECT doc_id, leaf, s.digest AS subroot, root, sha256(siblings) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots AS s ON s.member = leaves.tree JOIN ends USING (r), (SELECT digest AS root FROM high WHERE total = 1)
+"""
+
 # Pairs of equal words, each with all earlier ones, as diagonals.
 OP12 = rf"""
 WITH d AS (
@@ -170,4 +227,4 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * leng
 FROM d LEFT JOIN summed USING (r) LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (r) LEFT JOIN left_over USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op10_chat_formatting": OP10, "op12_periodic_runs": OP12}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op10_chat_formatting": OP10, "op11_merkle_manifest": OP11, "op12_periodic_runs": OP12}
