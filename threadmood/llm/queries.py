@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmood.llm import byte_bpe, chat, html_text, language_model, merkle, near_copies, neighbours, packing, passages, periodic, quality, sharding
+from threadmood.llm import byte_bpe, chat, html_text, language_model, merkle, near_copies, neighbours, packing, passages, periodic, quality, set_join, sharding
 from threadmood.llm.shared import let
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -145,6 +145,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.set_join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_copies": op2_near_copies,
@@ -158,4 +162,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_set_join": op13_set_join,
 }
