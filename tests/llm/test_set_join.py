@@ -5,7 +5,7 @@ import pytest
 
 from tests.llm import cases
 from tests.llm.test_near_copies import shingles
-from threadmood.llm import set_join
+from threadmood.llm import groups, set_join
 
 
 def brute(rows, words=4, percent=85):
@@ -97,3 +97,23 @@ def test_needed_intersections():
 
 def test_empty_table(spark):
     assert set_join.set_join(cases.empty(spark)).count() == 0
+
+
+def test_spanning_links_connect_the_same():
+    draw = np.random.default_rng(4)
+    for n in (2, 30, 400):
+        u, v = draw.integers(0, n, (2, n), dtype="int64") * 7
+        a, b = groups.spanning(u, v)
+        assert len(a) < len(np.unique([u, v]))
+        roots = dict(zip(a.tolist(), b.tolist(), strict=True))
+        parent = {i: i for i in np.unique([u, v]).tolist()}
+
+        def find(i, parent=parent):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for x, y in zip(u.tolist(), v.tolist(), strict=True):
+            low, high = sorted((find(x), find(y)))
+            parent[high] = low
+        assert {i: roots.get(i, i) for i in parent} == {i: find(i) for i in parent}

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from threadmood.llm.components import components
 from threadmood.llm.shared import stored
 
+#: Pairs that a task gathers before it gives out links that connect the same.
+HELD_PAIRS = 500_000
+
 LINKS = "u long, v long"
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -57,14 +60,39 @@ def _begins(batch: pa.RecordBatch) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def spanning(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what the links (u, v) connect, fewer than there are ids: each id with the smallest it is joined to."""
+    ids, places = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = places[: len(u)], places[len(u) :]
+    root, before = np.arange(len(ids)), None
+    while before is None or (root != before).any():
+        before = root.copy()
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, before[a], low)
+        np.minimum.at(root, before[b], low)
+        root = root[root]
+    joined = root != np.arange(len(ids))
+    return ids[joined], ids[root[joined]]
+
+
 def _links(rows: DataFrame, compare: Compare) -> DataFrame:
+    def joined(pairs: list[np.ndarray]) -> pa.RecordBatch:
+        u, v = spanning(*np.concatenate(pairs, axis=1))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=_LINKS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: list[np.ndarray] = []
         for batch, bounds in _whole_groups(batches):
             if (np.diff(bounds) > 1).any():
                 ids = batch.column("id").to_numpy()
                 is_open = batch.column("open").to_numpy(zero_copy_only=False).astype(bool)
                 a, b = compare(batch, bounds, is_open, batch.column("label").to_numpy())
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], schema=_LINKS)
+                pairs.append(np.stack([ids[a], ids[b]]))
+                if sum(own.shape[1] for own in pairs) > HELD_PAIRS:
+                    yield joined(pairs)
+                    pairs = []
+        if pairs:
+            yield joined(pairs)
 
     keys = ["group", "part"]
     return rows.repartition(*keys).sortWithinPartitions(*keys, "rank").mapInArrow(run, LINKS)

@@ -172,14 +172,13 @@ def _compare_postings(percent: int) -> Compare:
     return compare
 
 
-def _lists(rows: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """(group, parts, id, rank, n): the postings of one row per class in lists of two or more.
+def _lists(rows: DataFrame, least: float) -> DataFrame:
+    """(group, parts, id, rank, n): the rows' postings in lists of two or more.
 
     Postings of a shingle that may fill several parts, as far as its counter tells, are not brought
     together here: they are dealt later. All others are counted where they meet.
     """
-    one_each = rows.join(classes.select("key", "id"), ["key", "id"], "left_semi").dropDuplicates(["key"])
-    posted = one_each.select("id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("rank", "x"))
+    posted = rows.select("id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("rank", "x"))
     most = F.when(F.col("x.common") > 0, F.ceil(F.lit(float(least)) * F.pow(F.lit(2.0), F.col("x.common") / 4) / LIST_PART)).otherwise(1)
     posted = posted.select(F.col("x.token").alias("group"), most.cast("int").alias("parts"), "id", "rank", "n")
     packed = (F.shiftleft(F.col("rank").cast("long"), 32) + F.col("n")).alias("packed")
@@ -277,33 +276,35 @@ def compare_sets(percent: int) -> Compare:
     return compare
 
 
-def full_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(id, key, shingles) of rows (id, text)."""
+def confirmed(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of similar sets among the classes (id, key, n, rare) of each cluster (id, component), from the texts (id, text).
+
+    The clusters' rows meet the texts before these are made sets, so sets travel once.
+    """
+    members = clusters.join(classes.select("id", "key", "n", "rare"), "id")
+    weights = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("shingles") / PART_SHINGLES)).cast("int")
+    rank = (F.col("rare") / F.col("n")).alias("rank")
+    wanted = members.join(weights.select("component", parts.alias("parts")), "component")
+    wanted = stored(wanted.select(F.col("component").alias("group"), "parts", "id", rank, "key"), "cluster-members")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, bytes]] = set()  # one of repeated rows goes on from a task
         for batch in batches:
-            for own, data, bounds in B.blocks(batch, 1):
+            for own, data, bounds in B.blocks(batch, 5):
                 shingles, at = shingle_sets(data, bounds, words)
-                keys = [key.tobytes() for key in set_keys(shingles, at)]
-                blobs = [shingles[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())], names=["id", "key", "shingles"])
+                same = np.zeros(own.num_rows, bool)
+                for i, (key, row) in enumerate(zip(set_keys(shingles, at), own.select(["id", "key"]).to_pylist(), strict=True)):
+                    if key.tobytes() == row["key"] and (row["id"], row["key"]) not in seen:
+                        same[i] = True
+                        seen.add((row["id"], row["key"]))
+                blobs = [shingles[a:b].tobytes() for a, b in zip(at[:-1][same], at[1:][same], strict=True)]
+                columns = [own.column(i).filter(pa.array(same)) for i in range(4)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], names=["group", "parts", "id", "rank", "shingles"])
 
-    return texts.mapInArrow(run, "id long, key binary, shingles binary")
-
-
-def confirmed(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links of similar sets among the classes (id, key, n, rare) of each cluster (id, component), from the texts (id, text)."""
-    members = clusters.join(classes.select("id", "key", "n", "rare"), "id")
-    weights = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
-    parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("shingles") / PART_SHINGLES)).cast("int")
-    wanted = clusters.select("id")
-    sets = full_sets(texts.join(wanted, "id", "left_semi"), words)
-    rows = (
-        members.join(weights.select("component", parts.alias("parts")), "component")
-        .join(sets, ["id", "key"])
-        .select(F.col("component").alias("group"), "parts", "id", (F.col("rare") / F.col("n")).alias("rank"), "shingles")
-    )
-    return linked(rows, compare_sets(percent), CLUSTER_PART, not weights.where(parts > 1).isEmpty())
+    met = texts.join(wanted, "id").select("group", "parts", "id", "rank", "key", "text")
+    rows = met.mapInArrow(run, "group long, parts int, id long, rank double, shingles binary")
+    return linked(rows, compare_sets(percent), CLUSTER_PART, not wanted.where("parts > 1").isEmpty())
 
 
 def set_join(df: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,10 +323,11 @@ def set_join(df: DataFrame, words: int = 4, percent: int = 85, id_col: str = "do
     """
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     common, least = _commonness(texts, words)
-    rows = stored(_posted_sets(texts, words, percent, common), "sets")
-    least_ids = rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
-    classes = stored(rows.drop("prefix").join(least_ids, ["key", "id"]).dropDuplicates(["key"]), "set-classes")
-    lists = stored(_lists(rows, classes, least), "set-lists")
+    rows = stored(_posted_sets(texts, words, percent, common).withColumn("row", F.monotonically_increasing_id()), "sets")
+    named_by = rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "row")).alias("least"))
+    chosen = stored(named_by.select("least.row"), "set-rows")
+    classes = stored(rows.drop("prefix").join(chosen, "row", "left_semi"), "set-classes")
+    lists = stored(_lists(rows.join(chosen, "row", "left_semi"), least), "set-lists")
     links = linked(lists.join(classes.select("id", "digest"), "id"), _compare_postings(percent), LIST_PART, not lists.where("parts > 1").isEmpty())
     clusters = stored(components(links, "set-clusters"), "set-clusters")
 
