@@ -117,3 +117,22 @@ def test_spanning_links_connect_the_same():
             low, high = sorted((find(x), find(y)))
             parent[high] = low
         assert {i: roots.get(i, i) for i in parent} == {i: find(i) for i in parent}
+
+
+def test_digests_differ_in_no_more_bits_than_sets_in_shingles():
+    draw = np.random.default_rng(8)
+    for width in (512, 4096):
+        one = np.unique(draw.integers(0, 1 << 60, 700, dtype="uint64"))
+        other = np.unique(np.concatenate([one[::2], draw.integers(0, 1 << 60, 40, dtype="uint64")]))
+        both, bounds = np.concatenate([one, other]), np.array([0, len(one), len(one) + len(other)])
+        a, b = (np.frombuffer(x, "uint64") for x in set_join._digests(both, bounds, np.array([width, width])))
+        assert 0 < np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(one, other))
+        half = np.frombuffer(set_join._digests(one, bounds[:2], np.array([width // 2]))[0], "uint64")
+        assert (half == a[: len(half)] ^ a[len(half) :]).all()
+
+
+def test_rows_are_only_left_out_where_their_id_is_not_wanted(spark):
+    ids = spark.range(0, 1000, 7)
+    kept = {r.id for r in set_join.only_some(spark.range(1000), ids).collect()}
+    assert {r.id for r in ids.collect()} <= kept
+    assert len(kept) < 200

@@ -3,8 +3,8 @@
 Shingles are put into one order, common ones last. Two similar sets share one of the first few
 shingles of either, so a set is posted under those alone, each with its position. In a list, by
 position, a set skips the whole block of postings whose positions say that too many shingles
-before the common one differ. What passes is told apart by a digest that never rejects a similar
-pair. Sets that this connects are compared in full: the overlaps of one set with all others come
+before the common one differ. What passes is told apart by digests, a short and then a wide one,
+that never reject a similar pair. Sets that this connects are compared in full: the overlaps of one set with all others come
 from the inverted lists; those of a similar set are derived from them by walking only the lists of
 the shingles in which the two sets differ.
 """
@@ -35,8 +35,8 @@ SLICE = 1 << 15
 LIST_PART, CLUSTER_PART, PART_SHINGLES = 2048, 512, 4_000_000
 #: Lists up to this size are compared pair by pair at once.
 SHORT_LIST = 64
-#: Bits of a digest.
-DIGEST = 512
+#: Bits of a digest, and of the bitmap that says which texts are wanted again.
+DIGEST, FILTER_BITS = 512, 1 << 23
 
 
 def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -79,23 +79,27 @@ def _commonness(df: DataFrame, words: int) -> tuple[np.ndarray, float]:
     return np.where(counts > least, np.minimum(steps, 255), 0).astype("uint8"), least
 
 
-def _digests(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Parities of the number of shingles that fall on each of DIGEST bits, as bytes.
+def _digests(shingles: np.ndarray, bounds: np.ndarray, widths: np.ndarray) -> list[bytes]:
+    """Parities of the number of shingles that fall on each of a width of bits (a power of two per set).
 
     A shingle that only one of two sets has turns one bit, so two digests differ in no more bits
-    than their sets do in shingles.
+    than their sets do in shingles. One half of a digest over the other is that of half the width.
     """
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    bit = (B.mixed(shingles) % np.uint64(DIGEST)).astype("int64")
-    counts = np.bincount(text * DIGEST + bit, minlength=(len(bounds) - 1) * DIGEST)
-    return np.packbits((counts & 1).astype(bool).reshape(-1, DIGEST), axis=1)
+    begins = np.append(0, np.cumsum(widths))
+    text = np.repeat(np.arange(len(widths)), np.diff(bounds))
+    bit = (B.mixed(shingles) & (widths[text] - 1).astype("uint64")).astype("int64")
+    parity = np.zeros(begins[-1], bool)
+    places, counts = np.unique(begins[text] + bit, return_counts=True)
+    parity[places] = counts & 1
+    packed = np.packbits(parity).tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
 
 
-SETS = "id long, key binary, n long, rare long, digest binary, prefix array<struct<token: long, common: int>>"
+SETS = "id long, key binary, n long, rare long, digest binary, wide binary, prefix array<struct<token: long, common: int>>"
 
 
 def _posted_sets(df: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(id, key, n, rare, digest, prefix) per row: 128 bits for the set, its size, how many shingles are not common, and the first few in order."""
+    """(id, key, n, rare, digest, wide, prefix) per row: 128 bits for the set, its size, how many shingles are not common, two digests, and the first few in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,10 +120,11 @@ def _posted_sets(df: DataFrame, words: int, percent: int, common: np.ndarray) ->
                         pa.array(keys, pa.binary()),
                         pa.array(sizes.astype("int64")),
                         pa.array(np.bincount(text[step == 0], minlength=len(sizes)).astype("int64")),
-                        pa.array([x.tobytes() for x in _digests(shingles, at)], pa.binary()),
+                        pa.array(_digests(shingles, at, np.full(len(sizes), DIGEST)), pa.binary()),
+                        pa.array(_digests(shingles, at, 1 << np.ceil(np.log2(np.maximum(sizes, DIGEST))).astype("int64")), pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(posted)).astype("int32")), prefix),
                     ],
-                    names=["id", "key", "n", "rare", "digest", "prefix"],
+                    names=["id", "key", "n", "rare", "digest", "wide", "prefix"],
                 )
 
     return df.mapInArrow(run, SETS)
@@ -232,66 +237,116 @@ class Overlaps:
         return self.known[1]
 
 
-def compare_sets(percent: int) -> Compare:
-    """Pairs of sets in one cluster that connect all similar ones."""
+def _forest(order: np.ndarray, sizes: np.ndarray, percent: int, is_open: np.ndarray, group: np.ndarray, similar) -> Iterator[tuple[int, int]]:
+    """Pairs that connect all similar members: each is compared with those that it is not joined to and that come later.
 
-    def links(sets: list[np.ndarray], is_open: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, int]]:
-        overlaps = Overlaps(sets)
-        sizes = np.diff(overlaps.begins)
-        left = np.ones(len(sets), bool)
-
-        def visit(i: int) -> Iterator[tuple[int, int]]:
-            left[i] = False
-            fits = left & (group != group[i]) & (is_open | is_open[i])
-            fits &= (100 * sizes >= percent * sizes[i]) & (percent * sizes <= 100 * sizes[i])
-            others = np.flatnonzero(fits)
-            if len(others):
-                both = sizes[others] + sizes[i]
-                others = others[overlaps(i)[others] >= needed(both, percent)]
-                for j in others.tolist():
-                    if group[j] != group[i]:
-                        group[group == group[j]] = group[i]
-                        yield i, j
-
-        # Who has most of what is common joins most of the others at once. What is left outside
-        # goes first then, so the large group finds nobody to compare with.
-        central = np.add.reduceat(np.log(overlaps.often[overlaps.tokens]), overlaps.begins[:-1]) / sizes
-        order = np.argsort(-central, kind="stable")
-        yield from visit(int(order[0]))
-        largest = np.bincount(group).argmax()
-        for i in [*order[1:][group[order[1:]] != largest], *order[1:][group[order[1:]] == largest]]:
-            yield from visit(int(i))
+    The first of the order resembles many and joins them at once. What is left outside goes first
+    then, so the large group finds nobody to compare with.
+    """
+    left = np.ones(len(sizes), bool)
+
+    def visit(i: int) -> Iterator[tuple[int, int]]:
+        left[i] = False
+        fits = left & (group != group[i]) & (is_open | is_open[i])
+        fits &= (100 * sizes >= percent * sizes[i]) & (percent * sizes <= 100 * sizes[i])
+        others = np.flatnonzero(fits)
+        if len(others):
+            for j in others[similar(i, others)].tolist():
+                if group[j] != group[i]:
+                    group[group == group[j]] = group[i]
+                    yield i, j
+
+    yield from visit(int(order[0]))
+    inside = group[order] == np.bincount(group).argmax()
+    for i in [*order[~inside].tolist(), *order[inside].tolist()]:
+        if left[i]:
+            yield from visit(i)
+
+
+def _compare_clusters(percent: int, payload: str, compared) -> Compare:
+    """Pairs from the forest of each cluster; ``compared`` makes (order, sizes, similar) of its payloads."""
 
     def compare(batch: pa.RecordBatch, bounds: np.ndarray, is_open: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = []
-        sets = batch.column("shingles")
+        blobs, n = batch.column(payload), batch.column("n").to_numpy()
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if b - a > 1:
-                own = [np.frombuffer(sets[i].as_buffer(), "uint64") for i in range(a, b)]
+                order, similar = compared([np.frombuffer(blobs[i].as_buffer(), "uint64") for i in range(a, b)], n[a:b])
                 group = np.unique(label[a:b], return_inverse=True)[1]
-                found += [(a + i, a + j) for i, j in links(own, is_open[a:b], group)]
+                found += [(a + i, a + j) for i, j in _forest(order, n[a:b], percent, is_open[a:b], group, similar)]
         pairs = np.array(found, "int64").reshape(-1, 2)
         return pairs[:, 0], pairs[:, 1]
 
     return compare
 
 
+def compare_sets(percent: int) -> Compare:
+    """Pairs of sets in one cluster that connect all similar ones."""
+
+    def compared(sets: list[np.ndarray], n: np.ndarray):
+        overlaps = Overlaps(sets)
+        # Who has most of what is common comes first.
+        central = np.add.reduceat(np.log(overlaps.often[overlaps.tokens]), overlaps.begins[:-1]) / n
+        return np.argsort(-central, kind="stable"), lambda i, others: overlaps(i)[others] >= needed(n[others] + n[i], percent)
+
+    return _compare_clusters(percent, "shingles", compared)
+
+
+def compare_wide(percent: int) -> Compare:
+    """Pairs that connect all sets of one cluster whose wide digests do not rule it out."""
+
+    def compared(digests: list[np.ndarray], n: np.ndarray):
+        widths = np.array([len(x) for x in digests])
+        halves = [x[: len(x) // 2] ^ x[len(x) // 2 :] for x in digests]
+
+        def similar(i: int, others: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(others), bool)
+            for width in np.unique(widths[others]):  # sizes that may be similar are at most one power of two apart
+                own = np.flatnonzero(widths[others] == width)
+                theirs = np.stack([(halves if width > widths[i] else digests)[j] for j in others[own].tolist()])
+                mine = halves[i] if width < widths[i] else digests[i]
+                both = n[others[own]] + n[i]
+                out[own] = np.bitwise_count(theirs ^ mine).sum(axis=1) <= both - 2 * needed(both, percent)
+            return out
+
+        return np.arange(len(n)), similar
+
+    return _compare_clusters(percent, "wide", compared)
+
+
+def _members(clusters: DataFrame, classes: DataFrame, *columns: str) -> DataFrame:
+    """(group, parts, id, rank, n) and columns of the classes in each cluster (id, component)."""
+    members = clusters.join(classes, "id")
+    weights = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("shingles") / PART_SHINGLES)).cast("int")
+    met = members.join(weights.select("component", parts.alias("parts")), "component")
+    return met.select(F.col("component").alias("group"), "parts", "id", (F.col("rare") / F.col("n")).alias("rank"), "n", *columns)
+
+
+def only_some(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows without most of those whose id is not among ids: fewer travel to the join that leaves out the rest.
+
+    The ids' hashes are set in a bitmap of FILTER_BITS, whatever their number. Were all bits set, all rows would stay.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    bitmaps = ids.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    placed = rows.withColumn("bucket", F.bitmap_bucket_number(slot)).withColumn("place", F.bitmap_bit_position(slot).cast("int"))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, F.col("place") % 8).bitwiseAND(1) == 1
+    return placed.join(F.broadcast(bitmaps), "bucket").where(is_set).select(*rows.columns)
+
+
 def confirmed(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
     """Links of similar sets among the classes (id, key, n, rare) of each cluster (id, component), from the texts (id, text).
 
     The clusters' rows meet the texts before these are made sets, so sets travel once.
     """
-    members = clusters.join(classes.select("id", "key", "n", "rare"), "id")
-    weights = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
-    parts = F.ceil(F.greatest(F.col("members") / CLUSTER_PART, F.col("shingles") / PART_SHINGLES)).cast("int")
-    rank = (F.col("rare") / F.col("n")).alias("rank")
-    wanted = members.join(weights.select("component", parts.alias("parts")), "component")
-    wanted = stored(wanted.select(F.col("component").alias("group"), "parts", "id", rank, "key"), "cluster-members")
+    wanted = stored(_members(clusters, classes, "key"), "cluster-members")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, bytes]] = set()  # one of repeated rows goes on from a task
         for batch in batches:
-            for own, data, bounds in B.blocks(batch, 5):
+            for own, data, bounds in B.blocks(batch, 6):
                 shingles, at = shingle_sets(data, bounds, words)
                 same = np.zeros(own.num_rows, bool)
                 for i, (key, row) in enumerate(zip(set_keys(shingles, at), own.select(["id", "key"]).to_pylist(), strict=True)):
@@ -299,11 +354,11 @@ def confirmed(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words:
                         same[i] = True
                         seen.add((row["id"], row["key"]))
                 blobs = [shingles[a:b].tobytes() for a, b in zip(at[:-1][same], at[1:][same], strict=True)]
-                columns = [own.column(i).filter(pa.array(same)) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], names=["group", "parts", "id", "rank", "shingles"])
+                columns = [own.column(i).filter(pa.array(same)) for i in range(5)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], names=["group", "parts", "id", "rank", "n", "shingles"])
 
-    met = texts.join(wanted, "id").select("group", "parts", "id", "rank", "key", "text")
-    rows = met.mapInArrow(run, "group long, parts int, id long, rank double, shingles binary")
+    met = only_some(texts, wanted).join(wanted, "id").select("group", "parts", "id", "rank", "n", "key", "text")
+    rows = met.mapInArrow(run, "group long, parts int, id long, rank double, n long, shingles binary")
     return linked(rows, compare_sets(percent), CLUSTER_PART, not wanted.where("parts > 1").isEmpty())
 
 
@@ -330,6 +385,9 @@ def set_join(df: DataFrame, words: int = 4, percent: int = 85, id_col: str = "do
     lists = stored(_lists(rows.join(chosen, "row", "left_semi"), least), "set-lists")
     links = linked(lists.join(classes.select("id", "digest"), "id"), _compare_postings(percent), LIST_PART, not lists.where("parts > 1").isEmpty())
     clusters = stored(components(links, "set-clusters"), "set-clusters")
+    members = stored(_members(clusters, classes, "wide"), "set-members")
+    links = linked(members, compare_wide(percent), CLUSTER_PART, not members.where("parts > 1").isEmpty())
+    clusters = stored(components(links, "set-clusters"), "set-clusters")
 
     found = components(confirmed(texts, classes, clusters, words, percent), "set-join").select(F.col("id").alias("class"), "component")
     named = rows.select("id", "key", "n").join(classes.select("key", F.col("id").alias("class")), "key", "left")
