@@ -24,21 +24,24 @@ _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 Compare = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Rows sorted by group and part, in pieces that hold whole parts, and where these begin (and the last ends)."""
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...] = ("group", "part")) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows sorted by the keys, in pieces that hold whole groups, and where these begin (and the last ends)."""
     held: list[pa.RecordBatch] = []
 
     def cut(rows: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, np.ndarray]:
         batch = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-        return batch, np.append(_begins(batch), batch.num_rows)
+        return batch, np.append(_begins(batch, keys), batch.num_rows)
+
+    def key(batch: pa.RecordBatch, row: int) -> list:
+        return [batch.column(name)[row].as_py() for name in keys]
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        if held and _key(held[-1], held[-1].num_rows - 1) != _key(batch, 0):
+        if held and key(held[-1], held[-1].num_rows - 1) != key(batch, 0):
             yield cut(held)
             held = []
-        last = int(_begins(batch)[-1])
+        last = int(_begins(batch, keys)[-1])
         if last:
             yield cut([*held, batch.slice(0, last)])
             held = []
@@ -47,14 +50,10 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Record
         yield cut(held)
 
 
-def _key(batch: pa.RecordBatch, row: int) -> tuple:
-    return batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-
-
-def _begins(batch: pa.RecordBatch) -> np.ndarray:
+def _begins(batch: pa.RecordBatch, keys: tuple[str, ...]) -> np.ndarray:
     new = np.zeros(batch.num_rows, bool)
     new[0] = True
-    for name in ("group", "part"):
+    for name in keys:
         own = batch.column(name).to_numpy(zero_copy_only=False)
         new[1:] |= own[1:] != own[:-1]
     return np.flatnonzero(new)
@@ -82,7 +81,7 @@ def _links(rows: DataFrame, compare: Compare) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs: list[np.ndarray] = []
-        for batch, bounds in _whole_groups(batches):
+        for batch, bounds in whole_groups(batches):
             if (np.diff(bounds) > 1).any():
                 ids = batch.column("id").to_numpy()
                 is_open = batch.column("open").to_numpy(zero_copy_only=False).astype(bool)

@@ -3,8 +3,8 @@
 Shingles are put into one order, common ones last. Two similar sets share one of the first few
 shingles of either, so a set is posted under those alone, each with its position. In a list, by
 position, a set skips the whole block of postings whose positions say that too many shingles
-before the common one differ. What passes is told apart by digests, a short and then a wide one,
-that never reject a similar pair. Sets that this connects are compared in full: the overlaps of one set with all others come
+before the common one differ. What passes is told apart by a digest that never rejects a similar
+pair. Sets that this connects are compared in full: the overlaps of one set with all others come
 from the inverted lists; those of a similar set are derived from them by walking only the lists of
 the shingles in which the two sets differ.
 """
@@ -12,7 +12,7 @@ the shingles in which the two sets differ.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from threadmood.llm import blocks as B
 from threadmood.llm.components import components
-from threadmood.llm.groups import Compare, linked
+from threadmood.llm.groups import Compare, linked, whole_groups
 from threadmood.llm.near_copies import _set_keys as set_keys
 from threadmood.llm.near_copies import shingle_sets
 from threadmood.llm.shared import stored
@@ -35,7 +35,7 @@ SLICE = 1 << 15
 LIST_PART, CLUSTER_PART, PART_SHINGLES = 2048, 512, 4_000_000
 #: Lists up to this size are compared pair by pair at once.
 SHORT_LIST = 64
-#: Bits of a digest, and of the bitmap that says which texts are wanted again.
+#: Bits of a digest, for larger sets half their size or more; bits of the bitmap that says which texts are wanted again.
 DIGEST, FILTER_BITS = 512, 1 << 23
 
 
@@ -95,11 +95,11 @@ def _digests(shingles: np.ndarray, bounds: np.ndarray, widths: np.ndarray) -> li
     return [packed[a // 8 : b // 8] for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
 
 
-SETS = "id long, key binary, n long, rare long, digest binary, wide binary, prefix array<struct<token: long, common: int>>"
+SETS = "id long, key binary, n long, rare long, digest binary, prefix array<struct<token: long, common: int>>"
 
 
 def _posted_sets(df: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(id, key, n, rare, digest, wide, prefix) per row: 128 bits for the set, its size, how many shingles are not common, two digests, and the first few in order."""
+    """(id, key, n, rare, digest, prefix) per row: 128 bits for the set, its size, how many shingles are not common, a digest, and the first few in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,11 +120,10 @@ def _posted_sets(df: DataFrame, words: int, percent: int, common: np.ndarray) ->
                         pa.array(keys, pa.binary()),
                         pa.array(sizes.astype("int64")),
                         pa.array(np.bincount(text[step == 0], minlength=len(sizes)).astype("int64")),
-                        pa.array(_digests(shingles, at, np.full(len(sizes), DIGEST)), pa.binary()),
-                        pa.array(_digests(shingles, at, 1 << np.ceil(np.log2(np.maximum(sizes, DIGEST))).astype("int64")), pa.binary()),
+                        pa.array(_digests(shingles, at, 1 << np.ceil(np.log2(np.maximum(sizes / 2, DIGEST))).astype("int64")), pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(posted)).astype("int32")), prefix),
                     ],
-                    names=["id", "key", "n", "rare", "digest", "wide", "prefix"],
+                    names=["id", "key", "n", "rare", "digest", "prefix"],
                 )
 
     return df.mapInArrow(run, SETS)
@@ -137,39 +136,83 @@ def _pairs(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, np.arange(len(a)) - np.repeat(np.cumsum(counts) - counts, counts) + begin[a]
 
 
+class Digests:
+    """How many bits the digests of two rows differ in, each folded to the other's width."""
+
+    def __init__(self, blobs: pa.Array):
+        own = [np.frombuffer(blob, "uint64") for blob in blobs.to_pylist()]
+        self.widths = np.array([len(x) for x in own])
+        self.tables = {}
+        for width in np.unique([self.widths, self.widths // 2]).tolist():
+            rows = np.flatnonzero((self.widths == width) | (self.widths == 2 * width))
+            slot = np.zeros(len(own), "int64")
+            slot[rows] = np.arange(len(rows))
+            table = [own[i] if len(own[i]) == width else own[i][:width] ^ own[i][width:] for i in rows.tolist()]
+            self.tables[width] = slot, np.array(table).reshape(-1, width)
+
+    def differing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Widths are at most one power of two apart, as those of sets of similar sizes are."""
+        out = np.zeros(len(a), "int64")
+        widths = np.minimum(self.widths[a], self.widths[b])
+        for width in np.unique(widths).tolist():
+            slot, table = self.tables[width]
+            own = np.flatnonzero(widths == width)
+            for part in np.array_split(own, 1 + len(own) * width // 4_000_000):
+                out[part] = np.bitwise_count(table[slot[a[part]]] ^ table[slot[b[part]]]).sum(axis=1)
+        return out
+
+
+class Postings:
+    """Lists of postings by position: which of two sets' sizes and positions allow them to be similar."""
+
+    def __init__(self, batch: pa.RecordBatch, bounds: np.ndarray, percent: int):
+        self.position, self.n, self.percent = batch.column("rank").to_numpy(), batch.column("n").to_numpy(), percent
+        self.sizes = np.diff(bounds)
+        self.which = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        # Shingles before the first common one differ, those of either set: beyond this position no partner is left.
+        last = np.maximum(self.most(self.n + 100 * self.n // percent) - self.position, -1)
+        step = np.int64(1) << np.int64(32)
+        self.end = np.searchsorted(self.which * step + self.position, self.which * step + np.minimum(last, step - 1), "right")
+        self.is_short = self.sizes[self.which] <= SHORT_LIST
+
+    def most(self, both: np.ndarray) -> np.ndarray:
+        """Shingles that similar sets of these sizes together may differ in."""
+        return both - 2 * needed(both, self.percent)
+
+    def fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        n, position = self.n, self.position
+        sizes = 100 * np.minimum(n[a], n[b]) >= self.percent * np.maximum(n[a], n[b])
+        return sizes & (position[a] + position[b] <= self.most(n[a] + n[b]))
+
+    def short_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that fit in the lists up to SHORT_LIST; blocks of later positions are skipped."""
+        a, b = _pairs(np.arange(len(self.n)) + 1, np.where(self.is_short, self.end, 0))
+        keep = self.fit(a, b)
+        return a[keep], b[keep]
+
+
 def _compare_postings(percent: int) -> Compare:
     """Pairs of sets in one list that may be similar, as far as sizes, positions and digests say."""
 
     def compare(batch: pa.RecordBatch, bounds: np.ndarray, is_open: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        position, n = (batch.column(name).to_numpy() for name in ("rank", "n"))
-        digests = np.frombuffer(b"".join(batch.column("digest").to_pylist()), "uint64").reshape(len(n), -1)
-        sizes = np.diff(bounds)
-        which = np.repeat(np.arange(len(sizes)), sizes)
-        most = lambda both: both - 2 * needed(both, percent)
-        # Shingles before the first common one differ, those of either set: beyond this position no partner is left.
-        last = np.maximum(most(n + 100 * n // percent) - position, -1)
-        width = np.int64(1) << np.int64(32)
-        end = np.searchsorted(which * width + position, which * width + np.minimum(last, width - 1), "right")
+        lists, digests = Postings(batch, bounds, percent), Digests(batch.column("digest"))
         group = np.unique(label, return_inverse=True)[1]
 
         def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            both = n[a] + n[b]
-            fits = (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & (position[a] + position[b] <= most(both))
-            fits &= (is_open[a] | is_open[b]) & (group[a] != group[b])
-            fits[fits] = np.bitwise_count(digests[a[fits]] ^ digests[b[fits]]).sum(axis=1) <= most(both[fits])
+            fits = (is_open[a] | is_open[b]) & (group[a] != group[b]) & lists.fit(a, b)
+            fits[fits] = digests.differing(a[fits], b[fits]) <= lists.most(lists.n[a[fits]] + lists.n[b[fits]])
             return fits
 
-        short = sizes[which] <= SHORT_LIST
-        a, b = _pairs(np.arange(len(n)) + 1, np.where(short, end, 0))
+        a, b = lists.short_pairs()
         keep = similar(a, b)
         found = [np.stack([a[keep], b[keep]])]
-        for k in np.flatnonzero(sizes > SHORT_LIST):
+        for k in np.flatnonzero(lists.sizes > SHORT_LIST):
+            own = slice(bounds[k], bounds[k + 1])
             for i in range(bounds[k], bounds[k + 1]):
-                others = np.arange(i + 1, end[i])
+                others = np.arange(i + 1, lists.end[i])
                 others = others[group[others] != group[i]]
                 others = others[similar(np.full(len(others), i), others)]
                 found.append(np.stack([np.full(len(others), i), others]))
-                own = slice(bounds[k], bounds[k + 1])
                 group[own][np.isin(group[own], group[others])] = group[i]
         a, b = np.concatenate(found, axis=1)
         return a, b
@@ -177,8 +220,22 @@ def _compare_postings(percent: int) -> Compare:
     return compare
 
 
-def _lists(rows: DataFrame, least: float) -> DataFrame:
-    """(group, parts, id, rank, n): the rows' postings in lists of two or more.
+def _with_partners(percent: int):
+    """Rows sorted by list and position without those that no other of a short list fits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, bounds in whole_groups(batches, ("group",)):
+            lists = Postings(batch, bounds, percent)
+            kept = ~lists.is_short
+            for own in lists.short_pairs():
+                kept[own] = True
+            yield batch.filter(pa.array(kept))
+
+    return run
+
+
+def _lists(rows: DataFrame, least: float, percent: int) -> DataFrame:
+    """(group, parts, id, rank, n): the rows' postings that have a partner in their list.
 
     Postings of a shingle that may fill several parts, as far as its counter tells, are not brought
     together here: they are dealt later. All others are counted where they meet.
@@ -196,6 +253,7 @@ def _lists(rows: DataFrame, least: float) -> DataFrame:
         F.shiftright("packed", 32).cast("int").alias("rank"),
         (F.col("packed") % (1 << 32)).cast("int").alias("n"),
     )
+    light = light.sortWithinPartitions("group", "rank").mapInArrow(_with_partners(percent), light.schema)
     return light.unionByName(posted.where("parts > 1"))
 
 
@@ -237,7 +295,7 @@ class Overlaps:
         return self.known[1]
 
 
-def _forest(order: np.ndarray, sizes: np.ndarray, percent: int, is_open: np.ndarray, group: np.ndarray, similar) -> Iterator[tuple[int, int]]:
+def _forest(order: np.ndarray, sizes: np.ndarray, percent: int, is_open: np.ndarray, group: np.ndarray, similar: Callable) -> Iterator[tuple[int, int]]:
     """Pairs that connect all similar members: each is compared with those that it is not joined to and that come later.
 
     The first of the order resembles many and joins them at once. What is left outside goes first
@@ -263,57 +321,30 @@ def _forest(order: np.ndarray, sizes: np.ndarray, percent: int, is_open: np.ndar
             yield from visit(i)
 
 
-def _compare_clusters(percent: int, payload: str, compared) -> Compare:
-    """Pairs from the forest of each cluster; ``compared`` makes (order, sizes, similar) of its payloads."""
+def compare_sets(percent: int) -> Compare:
+    """Pairs of sets in one cluster that connect all similar ones."""
+
+    def links(sets: list[np.ndarray], n: np.ndarray, is_open: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, int]]:
+        overlaps = Overlaps(sets)
+        # Who has most of what is common comes first.
+        central = np.add.reduceat(np.log(overlaps.often[overlaps.tokens]), overlaps.begins[:-1]) / n
+        similar = lambda i, others: overlaps(i)[others] >= needed(n[others] + n[i], percent)
+        return _forest(np.argsort(-central, kind="stable"), n, percent, is_open, group, similar)
 
     def compare(batch: pa.RecordBatch, bounds: np.ndarray, is_open: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = []
-        blobs, n = batch.column(payload), batch.column("n").to_numpy()
+        blobs, n = batch.column("shingles"), batch.column("n").to_numpy()
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if b - a > 1:
-                order, similar = compared([np.frombuffer(blobs[i].as_buffer(), "uint64") for i in range(a, b)], n[a:b])
+                own = [np.frombuffer(blobs[i].as_buffer(), "uint64") for i in range(a, b)]
                 group = np.unique(label[a:b], return_inverse=True)[1]
-                found += [(a + i, a + j) for i, j in _forest(order, n[a:b], percent, is_open[a:b], group, similar)]
+                found += [(a + i, a + j) for i, j in links(own, n[a:b], is_open[a:b], group)]
         pairs = np.array(found, "int64").reshape(-1, 2)
         return pairs[:, 0], pairs[:, 1]
 
     return compare
 
 
-def compare_sets(percent: int) -> Compare:
-    """Pairs of sets in one cluster that connect all similar ones."""
-
-    def compared(sets: list[np.ndarray], n: np.ndarray):
-        overlaps = Overlaps(sets)
-        # Who has most of what is common comes first.
-        central = np.add.reduceat(np.log(overlaps.often[overlaps.tokens]), overlaps.begins[:-1]) / n
-        return np.argsort(-central, kind="stable"), lambda i, others: overlaps(i)[others] >= needed(n[others] + n[i], percent)
-
-    return _compare_clusters(percent, "shingles", compared)
-
-
-def compare_wide(percent: int) -> Compare:
-    """Pairs that connect all sets of one cluster whose wide digests do not rule it out."""
-
-    def compared(digests: list[np.ndarray], n: np.ndarray):
-        widths = np.array([len(x) for x in digests])
-        halves = [x[: len(x) // 2] ^ x[len(x) // 2 :] for x in digests]
-
-        def similar(i: int, others: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(others), bool)
-            for width in np.unique(widths[others]):  # sizes that may be similar are at most one power of two apart
-                own = np.flatnonzero(widths[others] == width)
-                theirs = np.stack([(halves if width > widths[i] else digests)[j] for j in others[own].tolist()])
-                mine = halves[i] if width < widths[i] else digests[i]
-                both = n[others[own]] + n[i]
-                out[own] = np.bitwise_count(theirs ^ mine).sum(axis=1) <= both - 2 * needed(both, percent)
-            return out
-
-        return np.arange(len(n)), similar
-
-    return _compare_clusters(percent, "wide", compared)
-
-
 def _members(clusters: DataFrame, classes: DataFrame, *columns: str) -> DataFrame:
     """(group, parts, id, rank, n) and columns of the classes in each cluster (id, component)."""
     members = clusters.join(classes, "id")
@@ -382,12 +413,9 @@ def set_join(df: DataFrame, words: int = 4, percent: int = 85, id_col: str = "do
     named_by = rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "row")).alias("least"))
     chosen = stored(named_by.select("least.row"), "set-rows")
     classes = stored(rows.drop("prefix").join(chosen, "row", "left_semi"), "set-classes")
-    lists = stored(_lists(rows.join(chosen, "row", "left_semi"), least), "set-lists")
+    lists = stored(_lists(rows.join(chosen, "row", "left_semi"), least, percent), "set-lists")
     links = linked(lists.join(classes.select("id", "digest"), "id"), _compare_postings(percent), LIST_PART, not lists.where("parts > 1").isEmpty())
     clusters = stored(components(links, "set-clusters"), "set-clusters")
-    members = stored(_members(clusters, classes, "wide"), "set-members")
-    links = linked(members, compare_wide(percent), CLUSTER_PART, not members.where("parts > 1").isEmpty())
-    clusters = stored(components(links, "set-clusters"), "set-clusters")
 
     found = components(confirmed(texts, classes, clusters, words, percent), "set-join").select(F.col("id").alias("class"), "component")
     named = rows.select("id", "key", "n").join(classes.select("key", F.col("id").alias("class")), "key", "left")
