@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from threadmood import schemas
 from threadmood.functions import scalar
 from threadmood.operators import filters, joins, labels, reports, sampling
+from threadmood.plans import tables
 
 COMMENT = dict(
     id="c1", body="text", created_utc=0, author_flair_text=None, link_id="t3_000001", score=1
@@ -268,3 +269,8 @@ def test_one_pass_equals_the_single_reports(spark):
             assert sorted(map(tuple, part.collect()), key=repr) == sorted(
                 map(tuple, reports.report(rows, name).collect()), key=repr
             )
+
+
+def test_numbers_beyond_six_digits_keep_them_all(spark):
+    rows = spark.createDataFrame([(7,), (999999,), (1000000,), (1000001,)], "doc_id long").select(tables._padded("doc_id")).collect()
+    assert [r[0] for r in rows] == ["000007", "999999", "1000000", "1000001"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 
 _COMMENTS = """comments AS (
-  SELECT lpad(CAST(doc_id AS VARCHAR), 6, '0') AS id,
+  SELECT lpad(CAST(doc_id AS VARCHAR), greatest(6, length(CAST(doc_id AS VARCHAR)))::INTEGER, '0') AS id,
          CASE doc_id % 10 WHEN 3 THEN text || ' /s' WHEN 7 THEN '&gt; ' || text ELSE text END AS body,
          CAST(floor(epoch(ts)) AS BIGINT) AS created_utc,
          nullif(lang, 'fr') AS author_flair_text,
@@ -17,11 +17,11 @@ _COMMENTS = """comments AS (
          user_id AS score
   FROM documents JOIN events ON event_id = doc_id)"""
 _STORIES = """stories AS (
-  SELECT lpad(CAST(page_id AS VARCHAR), 6, '0') AS id,
+  SELECT lpad(CAST(page_id AS VARCHAR), greatest(6, length(CAST(page_id AS VARCHAR)))::INTEGER, '0') AS id,
          regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, length(url) AS score
   FROM pages)"""
 _LABELS = """labeled AS (
-  SELECT lpad(CAST(doc_id AS VARCHAR), 6, '0') AS Input_id,
+  SELECT lpad(CAST(doc_id AS VARCHAR), greatest(6, length(CAST(doc_id AS VARCHAR)))::INTEGER, '0') AS Input_id,
          CASE WHEN quality = 1 THEN 1 ELSE -1 END AS labeldem,
          CASE WHEN toxic = 1 THEN -1 END AS labelgop,
          CASE WHEN toxic = 1 THEN -1 WHEN quality = 1 THEN 1 ELSE 0 END AS labeldjt
@@ -298,6 +298,22 @@ ORACLE_SQL: dict[str, str] = {
         _LABELS, select="SELECT Input_id, labeldem, labelgop, labeldjt FROM labeled"
     ),
     "scan_json_text_epoch": _ALL_COMMENTS,
+    "scan_json_quarantine": _with(
+        _COMMENTS,
+        """shown AS (
+  SELECT id AS record, NULL::VARCHAR AS reason FROM comments
+  UNION ALL SELECT '{"id": "' || id || '", "body": "cut o', 'not a JSON object' FROM comments WHERE score % 3 = 0
+  UNION ALL SELECT '{"id": "' || id || '", "score": "many"}', 'not a whole number: score' FROM comments WHERE score % 3 = 1)""",
+        select="SELECT *, count(*) FILTER (reason IS NULL) OVER () AS n_rows, count(reason) OVER () AS n_rejected FROM shown",
+    ),
+    "scan_csv_quarantine": _with(
+        _LABELS,
+        """shown AS (
+  SELECT Input_id AS record, NULL::VARCHAR AS reason FROM labeled
+  UNION ALL SELECT Input_id || ',1', 'another number of fields than the header' FROM labeled WHERE labeldem = 1
+  UNION ALL SELECT Input_id || ',1,1,1,1', 'another number of fields than the header' FROM labeled WHERE labeldjt = -1)""",
+        select="SELECT *, count(*) FILTER (reason IS NULL) OVER () AS n_rows, count(reason) OVER () AS n_rejected FROM shown",
+    ),
     "ingest_roundtrip": _ALL_COMMENTS,
     "materialize_if_absent": _with(_COMMENTS, select="SELECT id, score FROM comments"),
     "report_csv_roundtrip": _BY_DAY,

@@ -30,6 +30,7 @@ from threadmood.operators import (
 from threadmood.plans import run, tables
 from threadmood.plans.config import DJT, TARGETS, VECTORIZER_PATH, TargetConfig
 from threadmood.sources import readers, writers
+from threadmood.sources.quarantine import Separated
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +88,35 @@ def scan_json_text_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_json(spark, path, schemas.COMMENTS)
 
 
+def scan_json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the comments that were read, and the lines that were set apart among them, with the reason."""
+    path = fixtures.working_path(spark, "comments.json")
+    comments = tables.inputs(spark, sf_dir, fixtures.cores(spark)).comments
+    cut_off = F.concat(F.lit('{"id": "'), "id", F.lit('", "body": "cut o'))
+    no_number = F.concat(F.lit('{"id": "'), "id", F.lit('", "score": "many"}'))
+    lines = [F.to_json(F.struct(*schemas.COMMENTS.names)), F.when(F.col("score") % 3 == 0, cut_off), F.when(F.col("score") % 3 == 1, no_number)]
+    comments.select(F.explode(F.array_compact(F.array(*lines)))).write.text(path)
+    return _shown(readers.separate_json(spark, path, schemas.COMMENTS, fixtures.working_path(spark, "quarantine")), "id")
+
+
+def scan_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the labels that were read, and the records with other numbers of fields, with the reason."""
+    path = fixtures.working_path(spark, "labeled_data.csv")
+    labels = tables.inputs(spark, sf_dir).labels
+    short, long = F.concat("Input_id", F.lit(",1")), F.concat("Input_id", F.lit(",1,1,1,1"))
+    good = F.concat_ws(",", "Input_id", F.coalesce(F.col("labeldem").cast("string"), F.lit("")), F.lit("0"), F.lit("1.0"))
+    lines = [good, F.when(F.col("labeldem") == 1, short), F.when(F.col("labeldjt") == -1, long)]
+    records = labels.select(F.explode(F.array_compact(F.array(*lines))).alias(",".join(schemas.LABELS.names)))
+    records.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+    return _shown(readers.separate_labels(spark, path, fixtures.working_path(spark, "quarantine")), "Input_id")
+
+
+def _shown(separated: Separated, id_col: str) -> DataFrame:
+    counted = [F.lit(separated.n_rows).cast("bigint").alias("n_rows"), F.lit(separated.n_rejected).cast("bigint").alias("n_rejected")]
+    good = separated.rows.select(F.col(id_col).alias("record"), F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(separated.rejected.select("record", "reason")).select("*", *counted)
+
+
 def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_labels(spark, _written_labels(spark, sf_dir), infer_schema=True)
 
@@ -520,6 +550,8 @@ QUERIES: dict[str, Query] = {
     "scan_csv_inferred": scan_csv_inferred,
     "scan_csv_by_name": scan_csv_by_name,
     "scan_json_text_epoch": scan_json_text_epoch,
+    "scan_json_quarantine": scan_json_quarantine,
+    "scan_csv_quarantine": scan_csv_quarantine,
     "ingest_roundtrip": ingest_roundtrip,
     "materialize_if_absent": materialize_if_absent,
     "report_csv_roundtrip": report_csv_roundtrip,

@@ -45,10 +45,15 @@ def in_fraction(key: Column, fraction: float, salt: str = "") -> Column:
     return key_hash(key, salt) < F.lit(fraction * HASHES)
 
 
-def whole_number(text: Column, kind: str = "bigint") -> Column:
-    """The whole number a text stands for, also written as ``5.0``; blank is NULL, anything else an error."""
+def as_whole_number(text: Column, kind: str = "bigint") -> tuple[Column, Column]:
+    """The whole number a text stands for, also written as ``5.0``, and whether it stands for none; blank is NULL."""
     number = text.try_cast("decimal(38, 10)")
-    whole = number.cast(kind)
-    wrong = number.isNull() | (number != whole)
-    refused = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(kind)
-    return F.when(text.isNull() | (F.trim(text) == ""), F.lit(None).cast(kind)).when(wrong, refused).otherwise(whole)
+    whole = number.try_cast(kind)
+    blank = text.isNull() | (F.trim(text) == "")
+    return F.when(~blank, whole), ~blank & (whole.isNull() | (number != whole))
+
+
+def whole_number(text: Column, kind: str = "bigint") -> Column:
+    """The whole number a text stands for; blank is NULL, anything else an error."""
+    whole, wrong = as_whole_number(text, kind)
+    return F.when(wrong, F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(kind)).otherwise(whole)

@@ -236,8 +236,13 @@ def run_target(inputs: Inputs, config: TargetConfig, out_dir: str) -> dict[str,
     return run_targets(inputs, out_dir, (config,))[config.name]
 
 
-def tokenize_json(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Line-delimited JSON bodies to token arrays, as one distributed job."""
+def tokenize_json(
+    spark: SparkSession, path: str, keep: tuple[str, ...] = (), quarantine_path: str | None = None
+) -> DataFrame:
+    """Line-delimited JSON bodies to token arrays, as one distributed job.
+
+    A line that is no JSON object is an error, or set apart at the ``quarantine_path``.
+    """
     wanted = [f for f in schemas.COMMENTS if f.name in (*keep, "body")]
-    lines = readers.read_json(spark, path, type(schemas.COMMENTS)(wanted))
+    lines = readers.read_json(spark, path, type(schemas.COMMENTS)(wanted), quarantine_path)
     return lines.select(*keep, text.sanitize(F.col("body")).alias("tokens"))

@@ -14,7 +14,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _padded(number: str):
-    return F.lpad(F.col(number).cast("string"), 6, "0")
+    """Six digits or more: a longer number keeps all of its digits."""
+    digits = F.col(number).cast("string")
+    return F.lpad(digits, F.greatest(F.lit(6), F.length(digits)), "0")
 
 
 def comments(spark: SparkSession, sf_dir: str, deal: int | None = None) -> DataFrame:
