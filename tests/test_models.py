@@ -187,7 +187,8 @@ def test_targets_sharing_a_scan_score_the_same(spark, inputs, vectorizer, pair,
     for config in (DEM, DJT):
         for name, model in pair.items():
             writers.save_model(model, f"{together}/{config.model_dir}/{name}.model")
-        writers.save_tie(spark, *run.vocabulary_tie(config, vectorizer, together))
+        writers.save_tie(spark, *run.models_tie(inputs, config, vectorizer, together))
+    writers.save_tie(spark, *run.vectorizer_tie(inputs, together))
     run.run_targets(inputs, together, (DEM, DJT))
     for config in (DEM, DJT):
         shared = readers.read_parquet(spark, f"{together}/{config.scored_path}")
@@ -245,7 +246,8 @@ def test_run_from_files(spark, inputs, vectorizer, pair, out_dir, tmp_path):
     writers.save_model(vectorizer, target + "/cvModel")
     for name, model in pair.items():
         writers.save_model(model, f"{target}/{DJT.model_dir}/{name}.model")
-    writers.save_tie(spark, *run.vocabulary_tie(DJT, vectorizer, target))
+    writers.save_tie(spark, *run.models_tie(loaded, DJT, vectorizer, target))
+    writers.save_tie(spark, *run.vectorizer_tie(loaded, target))
     from_files = run.run_target(loaded, DJT, target)
     from_tables = run.run_target(inputs, DJT, out_dir)
     for name in DJT.reports:
@@ -261,3 +263,34 @@ def test_other_target_shares_the_vectorizer(spark, inputs, out_dir):
     written = run.run_target(inputs, DEM, out_dir)
     assert set(written) == {"overall", "by_day", "by_place"}
     assert os.stat(out_dir + "/cvModel/data").st_mtime_ns == before
+
+
+def test_other_inputs_renew_what_follows_and_nothing_else(spark, inputs, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    inputs.comments.write.parquet(f"{source}/comments")
+    inputs.stories.write.parquet(f"{source}/stories")
+    inputs.labels.write.option("header", True).csv(f"{source}/labels")
+
+    def times():
+        loaded = run.load_inputs(spark, f"{source}/comments", f"{source}/stories", f"{source}/labels")
+        run.run_target(loaded, DJT, target)
+        paths = [target + "/cvModel/data", f"{target}/{DJT.model_dir}/pos.model", f"{target}/{DJT.scored_path}"]
+        return [os.stat(path).st_mtime_ns for path in (*paths, f"{target}/{DJT.reports['by_day']}")]
+
+    first = times()
+    assert times() == first
+    inputs.stories.withColumn("score", F.col("score") + 1).write.mode("overwrite").parquet(f"{source}/stories")
+    other_stories = times()
+    assert [a == b for a, b in zip(first, other_stories)] == [True, True, False, False]
+    changed = inputs.labels.withColumn("labeldjt", -F.col("labeldjt"))
+    changed.write.mode("overwrite").option("header", True).csv(f"{source}/labels")
+    assert not any(a == b for a, b in zip(other_stories, times()))
+    assert not [name for name in os.listdir(target) if name.endswith(".new")]
+
+
+def test_a_table_of_other_makings_is_written_anew(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    assert writers.materialize(spark.range(2), path, "a").count() == 2
+    assert writers.materialize(spark.range(3), path, "a").count() == 2
+    assert writers.materialize(spark.range(3), path, "b").count() == 3
+    assert writers.materialize(spark.range(4), path).count() == 3

@@ -5,7 +5,10 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cached_property
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +29,7 @@ from threadmood.operators import (
 from threadmood.plans.config import TARGETS, VECTORIZER_PATH, TargetConfig
 from threadmood.session import pin
 from threadmood.sources import paths, readers, writers
+from threadmood.sources.made_of import chained, of_frame
 
 
 @dataclass(frozen=True)
@@ -38,6 +42,16 @@ class Inputs:
     def spark(self) -> SparkSession:
         return self.comments.sparkSession
 
+    @cached_property
+    def labelled_from(self) -> str:
+        """What labelled comments are made of; see made_of."""
+        return chained(of_frame(self.comments), of_frame(self.labels))
+
+    @cached_property
+    def joined_from(self) -> str:
+        """What comments with their stories are made of."""
+        return chained(of_frame(self.comments), of_frame(self.stories))
+
 
 def load_inputs(spark: SparkSession, comments: str, stories: str, label_csv: str) -> Inputs:
     pin(spark)
@@ -60,17 +74,22 @@ LABELLED, TRAINING, SAMPLED, SCORED, REPORTS = (
 def labelled_extract(inputs: Inputs, out_dir: str) -> DataFrame:
     """Tokens, labels and weights of the labelled comments, stored: one scan of the bodies for fit and training."""
     rows = features.with_tokens(labels.training_rows(inputs.comments, inputs.labels))
-    return writers.materialize(rows.drop("body"), posixpath.join(out_dir, LABELLED))
+    return writers.materialize(rows.drop("body"), posixpath.join(out_dir, LABELLED), inputs.labelled_from)
+
+
+def vectorizer_tie(inputs: Inputs, out_dir: str) -> tuple[str, str]:
+    """Where the vectorizer's makings are kept, and what they are now."""
+    return posixpath.join(out_dir, f"{VECTORIZER_PATH}.made_of"), inputs.labelled_from
 
 
 def vectorizer(inputs: Inputs, out_dir: str) -> CountVectorizerModel:
-    """The shared vectorizer, fitted on the labelled comments unless saved before."""
+    """The shared vectorizer, fitted on the labelled comments unless saved before for the same inputs."""
     path = posixpath.join(out_dir, VECTORIZER_PATH)
 
     def fit() -> dict:
         return {path: features.fit_vectorizer(labels.repeated(labelled_extract(inputs, out_dir)))}
 
-    writers.fit_unless_saved(inputs.spark, {path: features.VECTORIZER_MARKER}, fit)
+    writers.fit_unless_saved(inputs.spark, {path: features.VECTORIZER_MARKER}, fit, vectorizer_tie(inputs, out_dir))
     return features.load_vectorizer(path)
 
 
@@ -82,12 +101,23 @@ def training_frame(inputs: Inputs, model: CountVectorizerModel, path: str) -> Da
     """
     rows = labelled_extract(inputs, posixpath.dirname(path))
     frame = features.vectorize(rows, model).drop("copies", "tokens")
-    return writers.materialize(frame.hint("rebalance"), path)
+    return writers.materialize(frame.hint("rebalance"), path, chained(inputs.labelled_from, features.fingerprint(model)))
+
+
+def models_from(inputs: Inputs, config: TargetConfig, model: CountVectorizerModel) -> str:
+    """What the models of a target are made of: the labelled comments, the vocabulary and the settings of training."""
+    return chained(inputs.labelled_from, features.fingerprint(model), config.label_col, config.folds, config.seed)
+
 
+def models_tie(inputs: Inputs, config: TargetConfig, model: CountVectorizerModel, out_dir: str) -> tuple[str, str]:
+    """Where the makings of a target's models are kept, and what they are now."""
+    return posixpath.join(out_dir, config.model_dir, "made_of"), models_from(inputs, config, model)
 
-def vocabulary_tie(config: TargetConfig, model: CountVectorizerModel, out_dir: str) -> tuple[str, str]:
-    """Where the models of a target say which vocabulary they were trained on, and which this one is."""
-    return posixpath.join(out_dir, config.model_dir, "vocabulary"), features.fingerprint(model)
+
+def scored_from(inputs: Inputs, config: TargetConfig, model: CountVectorizerModel) -> str:
+    """What the scored rows of a target, and its reports, are made of."""
+    sample = config.sample_fraction, config.bernoulli, config.seed if config.bernoulli else None
+    return chained(inputs.joined_from, models_from(inputs, config, model), *sample)
 
 
 def trained_models(
@@ -97,7 +127,7 @@ def trained_models(
     out_dir: str,
     frame_path: str,
 ) -> dict[str, CrossValidatorModel]:
-    """Both models of a target; if either is missing both are trained.
+    """Both models of a target; if either is missing, or made of something else, both are trained.
 
     The training table goes to ``frame_path`` unless another target has put it there.
     """
@@ -113,13 +143,30 @@ def trained_models(
         )
         return {path_of[name]: fitted for name, fitted in pair.items()}
 
-    tie = vocabulary_tie(config, model, out_dir)
+    tie = models_tie(inputs, config, model, out_dir)
     writers.fit_unless_saved(
         inputs.spark, {path: models.MODEL_MARKER for path in path_of.values()}, fit, tie
     )
     return {name: models.load_model(path) for name, path in path_of.items()}
 
 
+def trained_pairs(
+    inputs: Inputs, configs: tuple[TargetConfig, ...], model: CountVectorizerModel, out_dir: str, frame_path: str
+) -> dict[str, dict[str, CrossValidatorModel]]:
+    """The models of all targets, trained at once: their fits are small jobs over one stored frame."""
+    spark = inputs.spark
+    markers = [posixpath.join(out_dir, c.model_dir, f"{p.name}.model", models.MODEL_MARKER) for c in configs for p in models.POLARITIES]
+    if not all(paths.exists(spark, marker) for marker in markers):
+        training_frame(inputs, model, frame_path)  # stored ahead, for all to read
+
+    @inheritable_thread_target(spark)
+    def one(config: TargetConfig) -> dict[str, CrossValidatorModel]:
+        return trained_models(inputs, config, model, out_dir, frame_path)
+
+    with ThreadPool(max(1, len(configs))) as pool:
+        return dict(zip([c.name for c in configs], pool.map(one, configs), strict=True))
+
+
 def _sampled(inputs: Inputs, config: TargetConfig) -> DataFrame:
     if config.bernoulli:
         return sampling.bernoulli_sample(inputs.comments, config.sample_fraction, config.seed)
@@ -133,18 +180,22 @@ def sampled_rows(inputs: Inputs, fraction: float, path: str) -> DataFrame:
     """
     sampled = filters.eligible(sampling.stable_sample(inputs.comments, fraction))
     rows = joins.comment_story(sampled, inputs.stories, keys=inputs.comments)
-    return writers.materialize(rows, path)
+    return writers.materialize(rows, path, chained(inputs.joined_from, fraction))
 
 
 def scored_by_all(
-    rows: DataFrame, model: CountVectorizerModel, pairs: dict[str, dict[str, CrossValidatorModel]], path: str
+    rows: DataFrame,
+    model: CountVectorizerModel,
+    pairs: dict[str, dict[str, CrossValidatorModel]],
+    path: str,
+    made_of: str | None = None,
 ) -> DataFrame:
     """The rows with ``<target>_pos`` and ``<target>_neg`` of each target, stored: one tokenisation for all."""
     vectors = features.vectorize(features.with_tokens(rows), model)
     for name, pair in pairs.items():
         vectors = scoring.apply_models(vectors, pair, prefix=f"{name}_")
     flags = [f"{name}_{polarity.name}" for name in pairs for polarity in models.POLARITIES]
-    return writers.materialize(vectors.select(*rows.columns, *flags), path)
+    return writers.materialize(vectors.select(*rows.columns, *flags), path, made_of)
 
 
 def scored_table(
@@ -168,20 +219,20 @@ def scored_table(
         rows = _sampled(inputs, config)
         scored = scoring.score(rows, inputs.stories, model, pair, keys=inputs.comments)
     return writers.materialize(
-        scored.select(*schemas.SCORED.names), posixpath.join(out_dir, config.scored_path)
+        scored.select(*schemas.SCORED.names), posixpath.join(out_dir, config.scored_path), scored_from(inputs, config, model)
     )
 
 
-def write_reports(scored: DataFrame, config: TargetConfig, out_dir: str) -> dict[str, str]:
-    """Report name to path. All reports come from one pass over the scored rows."""
+def write_reports(scored: DataFrame, config: TargetConfig, out_dir: str, made_of: str | None = None) -> dict[str, str]:
+    """Report name to path. All reports come from one pass over the scored rows; those made of the same are left alone."""
     spark = scored.sparkSession
     path_of = {name: posixpath.join(out_dir, path) for name, path in config.reports.items()}
-    missing = [name for name, path in path_of.items() if not paths.is_finished(spark, path)]
+    missing = [name for name, path in path_of.items() if not writers.is_current(spark, path, made_of)]
     if missing:
         keyed = tuple(name for name in missing if schemas.REPORT_KEYS[name])
         staged = posixpath.join(out_dir, config.model_dir, REPORTS)
         whole = reports.keyed_reports(scored, keyed, "overall" in missing) if keyed else None
-        stored = None if whole is None else writers.materialize(whole, staged)
+        stored = None if whole is None else writers.materialize(whole, staged, made_of and chained(made_of, *missing))
         for name in missing:
             if stored is None:
                 report = reports.report(scored, name, ordered=False)
@@ -189,7 +240,7 @@ def write_reports(scored: DataFrame, config: TargetConfig, out_dir: str) -> dict
                 key = schemas.REPORT_KEYS[name]
                 own = [key.name] if key else []
                 report = stored.where(F.col("report") == name).select(*own, "percent_pos", "percent_neg")
-            writers.write_report(report, path_of[name], config.single_file)
+            writers.write_report(report, path_of[name], config.single_file, made_of)
         paths.remove(spark, staged)
     return path_of
 
@@ -206,11 +257,12 @@ def run_targets(
     spark = inputs.spark
     model = vectorizer(inputs, out_dir)
     frame_path = posixpath.join(out_dir, TRAINING)
-    pairs = {c.name: trained_models(inputs, c, model, out_dir, frame_path) for c in configs}
+    pairs = trained_pairs(inputs, configs, model, out_dir, frame_path)
+    made_of = {c.name: scored_from(inputs, c, model) for c in configs}
     sharing = [
         c
         for c in configs
-        if not c.bernoulli and not paths.is_finished(spark, posixpath.join(out_dir, c.scored_path))
+        if not c.bernoulli and not writers.is_current(spark, posixpath.join(out_dir, c.scored_path), made_of[c.name])
     ]
     shared = None
     shared_paths = []
@@ -219,14 +271,14 @@ def run_targets(
         names = "-".join(sorted(c.name for c in sharing))
         shared_paths = [posixpath.join(out_dir, f"{names}-{largest}", name) for name in (SAMPLED, SCORED)]
         rows = sampled_rows(inputs, largest, shared_paths[0])
-        shared = scored_by_all(rows, model, {c.name: pairs[c.name] for c in sharing}, shared_paths[1])
+        shared = scored_by_all(rows, model, {c.name: pairs[c.name] for c in sharing}, shared_paths[1], chained(*(made_of[c.name] for c in sharing)))
     written = {}
     for config in configs:
         scored = scored_table(
             inputs, config, model, pairs[config.name], out_dir,
             shared if config in sharing else None,
         )
-        written[config.name] = write_reports(scored, config, out_dir)
+        written[config.name] = write_reports(scored, config, out_dir, made_of[config.name])
     for path in (*shared_paths, frame_path, posixpath.join(out_dir, LABELLED)):
         paths.remove(spark, path)
     return written
