@@ -388,7 +388,7 @@ def confirmed(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words:
                 columns = [own.column(i).filter(pa.array(same)) for i in range(5)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], names=["group", "parts", "id", "rank", "n", "shingles"])
 
-    met = only_some(texts, wanted).join(wanted, "id").select("group", "parts", "id", "rank", "n", "key", "text")
+    met = only_some(texts, wanted).join(wanted.hint("shuffle_hash"), "id").select("group", "parts", "id", "rank", "n", "key", "text")
     rows = met.mapInArrow(run, "group long, parts int, id long, rank double, n long, shingles binary")
     return linked(rows, compare_sets(percent), CLUSTER_PART, not wanted.where("parts > 1").isEmpty())
 
@@ -412,8 +412,9 @@ def set_join(df: DataFrame, words: int = 4, percent: int = 85, id_col: str = "do
     rows = stored(_posted_sets(texts, words, percent, common).withColumn("row", F.monotonically_increasing_id()), "sets")
     named_by = rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "row")).alias("least"))
     chosen = stored(named_by.select("least.row"), "set-rows")
-    classes = stored(rows.drop("prefix").join(chosen, "row", "left_semi"), "set-classes")
-    lists = stored(_lists(rows.join(chosen, "row", "left_semi"), least, percent), "set-lists")
+    classes = stored(rows.drop("prefix").join(chosen.hint("shuffle_hash"), "row", "left_semi"), "set-classes")
+    # The same plan at every size: a side that is broadcast while it is small would hide what a shuffle costs later.
+    lists = stored(_lists(rows.join(chosen.hint("shuffle_hash"), "row", "left_semi"), least, percent), "set-lists")
     links = linked(lists.join(classes.select("id", "digest"), "id"), _compare_postings(percent), LIST_PART, not lists.where("parts > 1").isEmpty())
     clusters = stored(components(links, "set-clusters"), "set-clusters")
 
