@@ -101,3 +101,28 @@ def test_many_vectors_of_one_direction(spark):
     rows = [(i, [float(i + 1), 2.0 * (i + 1)]) for i in range(30_000)]
     got = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
     assert len(got) == 600 and all(len(own) == 5 for own in got.values())
+
+
+def test_tight_and_loose_clusters(spark):
+    draw = np.random.default_rng(7)
+
+    def clusters(count, size, spread):
+        centres = draw.normal(size=(count, 1, 32))
+        return (centres + spread * draw.normal(size=(count, size, 32))).reshape(-1, 32)
+
+    vectors = np.concatenate([clusters(10, 250, 0.02), clusters(150, 10, 0.6)])
+    vectors = vectors[draw.permutation(len(vectors))]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    got = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
+    hits = total = loose = loose_total = 0
+    for i in range(0, len(vectors), 50):
+        scores = units @ units[i]
+        scores[i] = -2
+        want = np.argsort(-scores)[:5]
+        own = len({j for _, j, _ in got[i]} & set(want.tolist()))
+        hits, total = hits + own, total + 5
+        if scores[want[-1]] < 0.99:
+            loose, loose_total = loose + own, loose_total + 5
+    assert loose_total >= 50 and loose >= 0.9 * loose_total
+    assert hits >= 0.95 * total

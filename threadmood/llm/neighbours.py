@@ -21,6 +21,8 @@ TABLES = 2
 #: A table's buckets are visited until the estimated chance to have met a neighbour reaches this.
 SUCCESS = 0.82
 WIDTH = 1.0
+#: Distances below this count as this.
+LEAST_DISTANCE = 0.1
 #: Rows meant for a bucket at most. More functions make more and smaller buckets, and as many more to visit.
 BUCKET_ROWS = 5000
 #: Rows and queries of a bucket that one group compares, on average, and numbers in the rows' vectors; then
@@ -88,7 +90,7 @@ def _typical_distance(rows: DataFrame) -> float:
         own = np.array([_unit(np.array(row["vector"])) for row in sample if len(row["vector"]) == dim])
         if len(own) > NEAREST:
             near = np.sort(own @ own.T, axis=1)[:, -1 - NEAREST]
-            found += np.sqrt(np.maximum(2 - 2 * near, 0.01)).tolist()
+            found += np.sqrt(np.maximum(2 - 2 * near, LEAST_DISTANCE**2)).tolist()
     return float(np.median(found)) if found else 1.0
 
 
@@ -133,7 +135,8 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
 
     Every row is indexed: it goes into one bucket of each table, whole numbers of projections on
     random directions. A query visits buckets in the order of their estimated chance to hold a
-    neighbour; there all rows are compared exactly. Equal vectors are one class with its six
+    neighbour at a typical distance; there all rows are compared exactly. One whose fifth neighbour
+    found lies further off than that visits further buckets, until the chance is as high for its own distance. Equal vectors are one class with its six
     smallest ids, which is all that five neighbours with ties to the smaller id can take, so a
     very common vector costs what any other does. Queries that found fewer than five go on to
     all buckets of one table, in blocks. Buckets are counted, and a large one is compared in parts,
@@ -193,16 +196,23 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
                 yield pa.RecordBatch.from_arrays(columns, names=["bucket", "vector", "ids"][: len(columns)])
 
     def visited(batches: Iterator[pa.RecordBatch], whole: bool = True) -> Iterator[pa.RecordBatch]:
-        """The buckets that each query visits, with the query or alone."""
+        """The buckets that each query visits, with the query or alone: those for the typical distance or, where
+        the query brings its own, those for that which the first visit left out."""
         for batch in batches:
-            for i, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            reached = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows
+            for i, own, far in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), reached, strict=True):
                 vector = np.array(own)
                 keys = []
                 for table in range(TABLES):
                     directions, shift = _functions(len(vector), table, functions)
                     place = (_unit(vector) @ directions + shift) / WIDTH
                     cell = np.floor(place).astype(int)
-                    keys += _key(len(vector), table, cell + probes(place - cell, distance))
+                    offsets = probes(place - cell, distance)
+                    if far is not None:
+                        before = set(map(tuple, offsets.tolist()))
+                        further = [x for x in probes(place - cell, far).tolist() if tuple(x) not in before]
+                        offsets = np.array(further, int).reshape(-1, functions)
+                    keys += _key(len(vector), table, cell + offsets)
                 n = len(keys)
                 if not whole:
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string())], names=["bucket"])
@@ -241,7 +251,9 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
         asked = dealt(asked, "deal", "deals", "part", "parts", "query_id")
         held = dealt(held, "part", "parts", "deal", "deals", "vector")
         left, right = asked.groupBy("bucket", "part", "deal"), held.groupBy("bucket", "part", "deal")
-        found = left.cogroup(right).applyInArrow(lambda q, r: _compare(q, r, arrow), found_schema)
+        return left.cogroup(right).applyInArrow(lambda q, r: _compare(q, r, arrow), found_schema)
+
+    def ranked(found: DataFrame) -> DataFrame:
         best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
         return (
             found.groupBy("query_id", "vec_id")
@@ -252,14 +264,22 @@ def nearest(df: DataFrame, every: int = 50, id_col: str = "vec_id", vector_col:
 
     asked = queries.mapInArrow(visited, "bucket string, query_id long, vector array<double>")
     visits = queries.mapInArrow(lambda batches: visited(batches, False), "bucket string")
-    first = stored(compared(asked, visits, rows), "neighbours")
-    enough = first.groupBy("query_id").count().where(F.col("count") >= NEAREST)
+    first = stored(ranked(compared(asked, visits, rows)), "neighbours")
+    # The fifth score bounds how far the query's own neighbours lie; what lies within that is looked for in turn.
+    fifth = F.sqrt(F.greatest(2 - 2 * F.min("score"), F.lit(LEAST_DISTANCE**2)))
+    enough = first.groupBy("query_id").agg(F.count("*").alias("n"), fifth.alias("far")).where(F.col("n") >= NEAREST)
     short = queries.join(enough, "query_id", "left_anti")
+    wide = queries.join(enough.where(F.col("far") > distance), "query_id").select("query_id", "vector", "far")
+    wide = stored(wide, "wide-queries")
+    asked = wide.mapInArrow(visited, "bucket string, query_id long, vector array<double>")
+    visits = wide.mapInArrow(lambda batches: visited(batches, False), "bucket string")
+    again = stored(compared(asked, visits, rows), "further-neighbours")
+    first = ranked(first.select("query_id", "vec_id", "score").unionByName(again))
     own_table = rows.where(F.element_at(F.split("bucket", ":"), 2) == "0")
     dims = F.element_at(F.split("bucket", ":"), 1).cast("int")
     cells = own_table.select("bucket", dims.alias("dim")).distinct()
     rest = stored(short.join(cells, F.size("vector") == F.col("dim")).select("bucket", "query_id", "vector"), "short-queries")
-    both = first.join(short.select("query_id"), "query_id", "left_anti").unionByName(compared(rest, rest.select("bucket"), own_table))
+    both = first.join(short.select("query_id"), "query_id", "left_anti").unionByName(ranked(compared(rest, rest.select("bucket"), own_table)))
     return both.select(
         F.col("query_id").cast(kind).alias("query_id"), "rank", F.col("vec_id").cast(kind).alias(id_col), "score"
     )
