@@ -70,35 +70,62 @@ def test_pieces_hold_every_id_once_without_padding(spark, sf_dir):
     for r in docs.select("doc_id", "text").collect():
         want[r.doc_id, np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()] += 1
     rows = packing.pack(docs, TOKENIZER).collect()
-    sequences = defaultdict(list)
-    pieces = Counter()
+    sequences, documents = defaultdict(list), defaultdict(list)
     for r in rows:
         sequences[r.sequence_id].append((r.offset, r.length))
-        pieces[r.doc_id, r.start, r.length, hashlib.md5(r.tokens).digest(), r.doc_tokens] += 1
-    expected = Counter()
+        documents[r.doc_id, r.doc_tokens].append((r.start, r.length, bytes(r.tokens)))
+        assert len(r.tokens) == 4 * r.length > 0
+    by_document = defaultdict(list)
     for (i, blob), n in want.items():
-        start = 0
-        for length in packing.cut(len(blob) // 4):
-            expected[i, start, length, hashlib.md5(blob[4 * start : 4 * (start + length)]).digest(), len(blob) // 4] += n
-            start += length
-        assert 4 * start == len(blob)
-    assert pieces == expected
+        by_document[i, len(blob) // 4] += [blob] * n
+    assert set(documents) == set(by_document)
+    for key, blobs in by_document.items():
+        # Rows of one id and length lie over each other: every id of each of them is in one piece.
+        pieces, total = Counter(), Counter()
+        for start, length, tokens in documents[key]:
+            pieces.update((start + k, tokens[4 * k : 4 * k + 4]) for k in range(length))
+        for blob in blobs:
+            total.update((k, blob[4 * k : 4 * k + 4]) for k in range(len(blob) // 4))
+        assert pieces == total
     for own in sequences.values():
         at = 0
         for offset, length in sorted(own):
             assert offset == at
             at += length
-        assert at <= packing.CAPACITY and at & (at - 1) == 0
+        assert packing.CAPACITY - packing.CAPACITY // packing.SLACK <= at <= packing.CAPACITY or at & (at - 1) == 0
 
 
-def test_open_sequences_end_as_powers_of_two():
-    bins = packing.Bins(3, 16)
-    out = []
-    for i, size in enumerate([4, 4, 4, 1, 1, 1, 8, 16, 2]):
-        out += bins.add((i, 0, size))
+def test_documents_that_fit_stay_whole_and_padding_is_little(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    rows = packing.pack(docs, TOKENIZER).collect()
+    pieces = Counter(r.doc_id for r in rows if r.doc_tokens <= packing.CAPACITY)
+    assert sum(pieces.values()) < 1.5 * len(pieces)
+    used, sequences = sum(r.length for r in rows), Counter()
+    for r in rows:
+        sequences[r.sequence_id] += r.length
+    room = sum(n if n & (n - 1) == 0 else packing.CAPACITY for n in sequences.values())
+    assert used > 0.98 * room
+
+
+@pytest.mark.parametrize("lengths", [[300] * 400, [9] * 5000, [600, 17] * 300, [1024] * 5, [5000, 3], [513] * 200, [1] * 3000])
+def test_bins_take_a_fixed_count_of_whole_documents(lengths):
+    bins, out = packing.Bins(3, 1024), []
+    for i, size in enumerate(lengths):
+        out += bins.add((i, 0, size, bytes(4 * size), size))
+        held = [*bins.waiting, *bins.classes.values(), bins.rests]
+        assert len(bins.waiting) <= packing.WAITING and len(bins.rests) <= packing.WAITING + 1
+        assert len(held) <= packing.WAITING + 65
+        assert all(len(own) < count for count, own in bins.classes.items())
     out += bins.finish()
-    lengths = Counter()
-    for _, _, size, sequence, _ in out:
-        lengths[sequence] += size
-        assert sequence >> 40 == 3
-    assert len(out) == 9 and all(n & (n - 1) == 0 and n <= 16 for n in lengths.values())
+    placed, sequences = defaultdict(list), Counter()
+    for i, start, size, tokens, total, sequence, offset in out:
+        assert len(tokens) == 4 * size and total == lengths[i] and sequence >> 40 == 3 and offset == sequences[sequence]
+        placed[i].append((start, size))
+        sequences[sequence] += size
+    for i, size in enumerate(lengths):
+        at = 0
+        for start, length in sorted(placed[i]):
+            assert start == at
+            at += length
+        assert at == size
+    assert all(n <= 1024 and (n >= 1016 or n & (n - 1) == 0) for n in sequences.values())

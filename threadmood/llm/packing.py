@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,11 @@ CAPACITY = 1024
 END = 0
 #: Bytes of text that a task encodes at a time (one text may be longer).
 BLOCK_BYTES = 1_500_000
+#: Sequences that wait to be filled, and rests kept to fill them, per worker.
+WAITING = 64
+#: A sequence is closed with at most this part of the capacity empty.
+SLACK = 128
+ID_BYTES = 4
 
 _PIECE = [
     ("start", T.LongType()),
@@ -52,45 +58,99 @@ class TokenizerIds(UnitIds):
         return np.concatenate(lists), np.array([len(ids) for ids in lists], "int64")
 
 
-def cut(tokens: int, capacity: int = CAPACITY) -> list[int]:
-    """Lengths of a document's pieces: full sequences, then the rest by reciprocals of the capacity.
-
-    The classes are capacity / 1, / 2, / 4 and so on, so a fixed count of pieces of one class
-    fills a sequence without padding.
-    """
-    whole, rest = divmod(tokens, capacity)
-    return [capacity] * whole + [1 << bit for bit in range(rest.bit_length() - 1, -1, -1) if rest >> bit & 1]
-
-
 class Bins:
-    """The open sequence of each class; one worker's own, so workers never wait for each other."""
+    """The open sequences of one worker; workers never wait for each other.
+
+    A document of at most ``capacity`` ids belongs to the class of its length, capacity // length,
+    and a class's sequences take that many documents each, whole. Longer documents fill sequences
+    of their own, and what is left of them, under one sequence, is kept to fill the room beside
+    whole documents. Sequences that wait for that are few: beyond WAITING of them the next
+    document is cut up instead, and beyond as many rests kept a rest is placed as a document is.
+    Up to SLACK-th parts of a sequence may stay empty at its end.
+    """
 
     def __init__(self, worker: int, capacity: int):
-        self.next_id, self.capacity, self.open = worker << 40, capacity, {}
+        self.next_id, self.capacity, self.slack = worker << 40, capacity, capacity // SLACK
+        self.classes: dict[int, list[tuple]] = {}
+        self.waiting: deque[list[tuple]] = deque()
+        self.rests: deque[tuple] = deque()
 
-    def _close(self, pieces: list) -> Iterator[tuple]:
+    def _close(self, pieces: list[tuple]) -> Iterator[tuple]:
         offset = 0
         for piece in pieces:
             yield (*piece, self.next_id, offset)
             offset += piece[2]
         self.next_id += 1
 
-    def add(self, piece: tuple) -> Iterator[tuple]:
-        """piece: id, start, length, tokens, tokens of its document. Yields the pieces of a sequence that is full."""
-        held = self.open.setdefault(piece[2], [])
+    def _room(self, pieces: list[tuple]) -> int:
+        return self.capacity - sum(piece[2] for piece in pieces)
+
+    def _fill(self) -> Iterator[tuple]:
+        """Closes waiting sequences with ids from the rests, as far as these go."""
+        while self.waiting and self.rests:
+            held, rest = self.waiting[0], self.rests.popleft()
+            room = self._room(held)
+            head, tail = _split(rest, min(room, rest[2]))
+            held.append(head)
+            if tail:
+                self.rests.appendleft(tail)
+            if room - head[2] <= self.slack:
+                yield from self._close(self.waiting.popleft())
+
+    def _place(self, piece: tuple) -> Iterator[tuple]:
+        count = self.capacity // piece[2]
+        held = self.classes.setdefault(count, [])
         held.append(piece)
-        if len(held) * piece[2] == self.capacity:
-            yield from self._close(self.open.pop(piece[2]))
+        if len(held) == count:
+            del self.classes[count]
+            if self._room(held) <= self.slack:
+                yield from self._close(held)
+            else:
+                self.waiting.append(held)
+                yield from self._fill()
+
+    def add(self, document: tuple) -> Iterator[tuple]:
+        """document: id, start, length, tokens, tokens of its document. Yields the pieces of sequences that are full."""
+        long = document[2] > self.capacity
+        rest = document
+        while rest and rest[2] >= self.capacity:
+            head, rest = _split(rest, self.capacity)
+            yield from self._close([head])
+        if not rest:
+            return
+        if len(self.waiting) >= WAITING or (long and len(self.rests) < WAITING):
+            self.rests.append(rest)
+            yield from self._fill()
+        else:
+            yield from self._place(rest)
 
     def finish(self) -> Iterator[tuple]:
-        """What is left of each class goes into sequences whose length is a power of two: no padding."""
-        for size in sorted(self.open, reverse=True):
-            held = self.open[size]
-            while held:
-                n = 1 << (len(held).bit_length() - 1)
-                yield from self._close(held[:n])
-                held = held[n:]
-        self.open = {}
+        """What is left is laid end to end, cut where a sequence is full; the last one ends in powers of two."""
+        left = [piece for held in [*self.waiting, *self.classes.values(), self.rests] for piece in held]
+        self.waiting, self.classes, self.rests = deque(), {}, deque()
+        total = sum(piece[2] for piece in left)
+        pieces, at = deque(left), 0
+        while at < total:
+            size = min(self.capacity, 1 << ((total - at).bit_length() - 1))
+            held, room = [], size
+            while room:
+                head, tail = _split(pieces[0], min(room, pieces[0][2]))
+                pieces.popleft()
+                if tail:
+                    pieces.appendleft(tail)
+                held.append(head)
+                room -= head[2]
+            yield from self._close(held)
+            at += size
+
+
+def _split(piece: tuple, length: int) -> tuple[tuple, tuple | None]:
+    """The first ids of a piece, and the piece of all others, if any."""
+    key, start, whole, tokens, total = piece
+    if length == whole:
+        return piece, None
+    at = length * ID_BYTES
+    return (key, start, length, tokens[:at], total), (key, start + length, whole - length, tokens[at:], total)
 
 
 def pack(
@@ -100,10 +160,13 @@ def pack(
 
     A document is its ids by the tokenizer file at ``path`` (readable on every executor, no
     special tokens added), then id 0. ``capacity`` is a power of two. Each worker packs its own
-    partition while reading: no shuffle, and it holds less than one sequence per class. Sequence
+    partition while reading: no shuffle, and it holds less than one sequence per class, WAITING
+    that want filling and as many rests. At most one id in SLACK of a sequence is padding, and
+    none in a worker's last sequences, whose lengths are powers of two. Sequence
     ids carry the partition, so a repeated task gives the same. A NULL or empty text is the one
-    id 0; a long text becomes many full sequences; repeated rows are packed each; other columns
-    are ignored; an empty table gives no rows.
+    id 0; a long text becomes many full sequences and a rest, which may be cut on; a document of
+    at most ``capacity`` ids is cut only to fill a sequence that no rest is there for, or at the
+    worker's end; repeated rows are packed each; other columns are ignored; an empty table gives no rows.
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
@@ -136,12 +199,9 @@ def pack(
                 starts = starts + np.arange(len(starts))
                 whole, rows = ids.tobytes(), []
                 for i, key in enumerate(own.column(0).to_pylist()):
-                    blob = whole[4 * starts[i] : 4 * starts[i + 1]]
-                    total, start = len(blob) // 4, 0
-                    for length in cut(total, capacity):
-                        tokens = blob[4 * start : 4 * (start + length)]
-                        rows += bins.add((key, start, length, tokens, total))
-                        start += length
+                    blob = whole[ID_BYTES * starts[i] : ID_BYTES * starts[i + 1]]
+                    total = len(blob) // ID_BYTES
+                    rows += bins.add((key, 0, total, blob, total))
                 if rows:
                     yield packed(rows)
         if rows := list(bins.finish()):
