@@ -89,3 +89,21 @@ def test_components_of_long_chains(spark):
 
 def test_empty_table(spark):
     assert near_copies.near_copies(cases.empty(spark)).count() == 0
+
+
+def test_no_side_of_a_join_is_broadcast(spark, monkeypatch):
+    plans = []
+
+    def noted(df, name, stored=near_copies.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(near_copies, "stored", noted)
+    monkeypatch.setattr(components, "stored", noted)
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = spark.createDataFrame([(i, f"{text} end{i % 3}") for i in range(9)] + [(9, "other words"), (10, None)], "doc_id long, text string")
+    found = near_copies.near_copies(rows, words=2)
+    noted(found, "found")
+    assert {r.doc_id: r.component_id for r in found.collect()} == {**dict.fromkeys(range(9), 0), 9: 9, 10: 10}
+    assert sum("Join" in plan for plan in plans) > 3
+    assert not any("Broadcast" in plan for plan in plans)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmood.llm.shared import stored
+from threadmood.llm.shared import shuffled, stored
 
 
 def _to_smallest(links: DataFrame) -> DataFrame:
     """links with the smallest neighbour of ``u``."""
     smallest = links.groupBy("u").agg(F.min("v").alias("m"))
-    return links.join(smallest, "u")
+    return links.join(shuffled(smallest), "u")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from threadmood.llm import blocks as B
 from threadmood.llm.components import components
-from threadmood.llm.shared import stored
+from threadmood.llm.shared import shuffled, stored
 
 COORDINATES = 32
 #: Pairs that agree in fewer coordinates are not looked at. A pair at a similarity of 0.8 agrees
@@ -108,7 +108,7 @@ def _posted(classes: DataFrame) -> DataFrame:
     tokens = F.transform("signature", lambda v, i: F.xxhash64(v, i))
     posted = classes.select("id", F.explode(tokens).alias("token"))
     counts = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    found = posted.join(counts, "token", "left").groupBy("id").agg(
+    found = posted.join(shuffled(counts), "token", "left").groupBy("id").agg(
         F.slice(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token"))), 1, COORDINATES - MATCHES + 1).alias("own")
     )
     return found.select("id", F.explode(F.filter("own", lambda x: x["n"] > 1)).alias("x")).select("x.token", "x.n", "id")
@@ -274,12 +274,12 @@ def near_copies(df: DataFrame, words: int = 5, id_col: str = "doc_id", text_col:
     # A class is named by its smallest id; an id that names several classes (rows that share an id) joins them.
     digest = F.unhex(F.array_join(F.transform("signature", lambda v: F.lpad(F.hex(F.pmod(v, F.lit(256))), 2, "0")), ""))
     lists = _in_parts(_posted(classes), "token", LIST_PART)
-    lists = lists.join(classes.select("id", digest.alias("digest")), "id").select("token", "part", "id", "digest")
+    lists = lists.join(shuffled(classes.select("id", digest.alias("digest"))), "id").select("token", "part", "id", "digest")
     links = lists.repartition("token", "part").sortWithinPartitions("token", "part").mapInArrow(_candidates, "u long, v long")
     clusters = stored(components(links, "clusters"), "clusters")
 
     sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    members = _in_parts(clusters.join(sizes, "component"), "component", CLUSTER_PART)
+    members = _in_parts(clusters.join(shuffled(sizes), "component"), "component", CLUSTER_PART)
     wanted = clusters.select("id").hint("shuffle_hash")
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
 
@@ -291,18 +291,18 @@ def near_copies(df: DataFrame, words: int = 5, id_col: str = "doc_id", text_col:
                 blobs = [shingles[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([own.column(0), pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())], names=["id", "key", "shingles"])
 
-    full = texts.mapInArrow(sets, "id long, key binary, shingles binary").join(classes.select("id", "key"), ["id", "key"], "left_semi")
+    full = texts.mapInArrow(sets, "id long, key binary, shingles binary").join(shuffled(classes.select("id", "key")), ["id", "key"], "left_semi")
     compared = (
-        members.join(full.select("id", "shingles"), "id")
+        members.join(shuffled(full.select("id", "shingles")), "id")
         .select("component", "part", "id", "shingles")
         .repartition("component", "part")
         .sortWithinPartitions("component", "part")
         .mapInArrow(_confirmed, "u long, v long")
     )
     found = components(compared, "near-copies").select(F.col("id").alias("class"), "component")
-    named = rows.select("id", "key", "n_shingles").join(classes.select("key", F.col("id").alias("class")), "key", "left")
+    named = rows.select("id", "key", "n_shingles").join(shuffled(classes.select("key", F.col("id").alias("class"))), "key", "left")
     component = F.coalesce("component", "class", "id")
-    return named.join(found, "class", "left").select(
+    return named.join(shuffled(found), "class", "left").select(
         F.col("id").cast(df.schema[id_col].dataType).alias(id_col),
         "n_shingles",
         component.alias("component_id"),
