@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm import cases, test_near_copies, test_passages
-from threadmood.llm import packing, quality
+from threadmood.llm import quality
 
 
 @pytest.fixture(scope="module")
@@ -61,12 +61,13 @@ def test_all_ids_are_packed(inputs):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = Counter()
     for i, text in rows_of(inputs[3]):
-        blob = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
-        start = 0
-        for length in packing.cut(len(blob) // 4):
-            want[i, start, blob[4 * start : 4 * (start + length)]] += 1
-            start += length
-    assert Counter((r.doc_id, r.start, bytes(r.tokens)) for r in inputs[4].collect()) == want
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        want.update((i, at, token) for at, token in enumerate(ids))
+    found = Counter()
+    for r in inputs[4].collect():
+        assert len(r.tokens) == 4 * r.length
+        found.update((r.doc_id, r.start + k, token) for k, token in enumerate(np.frombuffer(bytes(r.tokens), "<u4").tolist()))
+    assert found == want
 
 
 def test_run_is_the_stages_in_turn(spark, sf_dir):

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
